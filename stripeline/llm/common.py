@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
+#: Whole texts travel in Arrow batches, held by the executor and its Python worker at once: smaller than usual, unless a session has its own sizes.
+ARROW = (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16m"))
 
 
 def ship(spark: SparkSession) -> None:
@@ -38,6 +40,9 @@ def ship(spark: SparkSession) -> None:
         f.write(blob.getvalue())
     sc.addPyFile(path)
     _shipped.add(sc.applicationId)
+    for name, usual, own in ARROW:
+        if spark.conf.get(name) == usual:
+            spark.conf.set(name, own)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

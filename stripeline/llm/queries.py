@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, simhash, tokenstore, toxicity
-from .common import table
+from . import chat, decontaminate, mixing, quality, secrets, simhash, tokencount, tokenstore, toxicity
+from .common import stage, table
 
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,11 +17,19 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.select(table(spark, sf_dir, "documents"), mixing.Mix())
     return taken.select("doc_id", F.col("_domain").alias("domain"), F.col("_lang").alias("lang"), F.col("_source").alias("source"), F.col("_epoch").alias("epoch"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("anomaly")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -31,8 +39,23 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"))
+
+
+#: Of the contract: a conversation whose texts hold the template's own marks.
+EXTRA_CHAT = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.union(spark.createDataFrame(EXTRA_CHAT, "conv_id long, turn long, role string, text string"))
+    return chat.digests(stage(chat.formatted(turns), "chats"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_store, op2_simhash, op4_mixing, op6_decontaminate, op8_toxicity)}
+    every = (op1_token_store, op2_simhash, op3_secrets, op4_mixing, op5_quality, op6_decontaminate, op8_toxicity, op9_token_counts, op10_chat)
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:

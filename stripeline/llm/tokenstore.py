@@ -43,7 +43,7 @@ from .common import as_bytes, map_rows, new_folder, ship
 END_ID = 1
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK, WINDOW = 64, 8, 1024, 16
 #: Words and cores that a worker remembers at most; when full, it forgets all.
-MAX_WORDS = 600_000
+MAX_WORDS = 250_000
 #: Chunks that a task knows to have sent; beyond, it sends some again, and the shuffle drops them.
 MAX_SENT = 1_000_000
 
