@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, quality, secrets, simhash, tokencount, tokenstore, toxicity
+from . import chat, decontaminate, mixing, pii, quality, secrets, simhash, tokencount, tokenstore, toxicity
 from .common import stage, table
 
 
@@ -35,6 +35,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
@@ -54,7 +58,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    every = (op1_token_store, op2_simhash, op3_secrets, op4_mixing, op5_quality, op6_decontaminate, op8_toxicity, op9_token_counts, op10_chat)
+    every = (op1_token_store, op2_simhash, op3_secrets, op4_mixing, op5_quality, op6_decontaminate, op7_personal_data, op8_toxicity, op9_token_counts, op10_chat)
     return {f.__name__: f for f in every}
 
 
