@@ -16,13 +16,13 @@ repeated rows give repeated results; empty tables give empty results or no hits.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import as_bytes, map_rows
 
@@ -126,42 +126,39 @@ def blocks_of(items: DataFrame, key: str, text: str, most: int = BLOCK_WORDS):
 
 
 def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = BLOCK_WORDS) -> DataFrame:
-    """All columns of docs, and n_words, hits (array of start, end word ranges, merged) and items (names, sorted)."""
+    """_row (the columns of docs), n_words, hits (array of start, end word ranges, merged) and items (names, sorted) of every row."""
     spark = docs.sparkSession
     shared = [spark.sparkContext.broadcast(Index(b, window)) for b in blocks_of(items, "item_id", "text", most)]
-    at = docs.columns.index("text")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").cast("string").alias("text"))
 
     def make():
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts, hits, names = [], [], []
-            for text in as_bytes(batch.column(at)):
+            for text in as_bytes(batch.column(1)):
                 found = [x.value.scan(text) for x in shared]
                 counts.append(found[0][0])
                 hits.append([{"start": a, "end": b} for a, b in merged(r for _, rs, _ in found for r in rs)])
                 names.append(sorted({x for *_, xs in found for x in xs}))
             more = [pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(names, pa.list_(pa.string()))]
-            return pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "_n_words", "_hits", "_items"])
+            return pa.RecordBatch.from_arrays([batch.column(0), *more], ["_row", "n_words", "hits", "items"])
 
         return run
 
-    schema = docs.limit(0).select("*", F.expr("0L").alias("_n_words"), F.expr("array(named_struct('start', 0L, 'end', 0L))").alias("_hits"), F.expr("array('')").alias("_items")).schema
-    return map_rows(docs, make, schema)
+    own = rows.schema["_row"].dataType
+    schema = T.StructType().add("_row", own).add("n_words", "long").add("hits", T.ArrayType(T.StructType().add("start", "long").add("end", "long"))).add("items", T.ArrayType(T.StringType()))
+    return map_rows(rows, make, schema)
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the hits themselves, of every row."""
-    found = occurrences(docs.select("doc_id", F.col("text").cast("string").alias("text")), items, window)
-    n_hit = F.aggregate("_hits", F.lit(0).cast("long"), lambda s, h: s + h["end"] - h["start"])
+    found = occurrences(docs.select("doc_id", "text"), items, window)
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda s, h: s + h["end"] - h["start"])
     return found.select(
-        "doc_id", F.col("_n_words").alias("n_words"), n_hit.alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "_items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), F.col("_hits").alias("hits"), F.col("_items").alias("items"),
+        F.col("_row.doc_id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "hits", "items",
     )
 
 
 def keep_uncontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs without the rows that hold a benchmark window; columns stay. One pass, no shuffle."""
-    return occurrences(docs, items, window).where(F.size("_hits") == 0).select(docs.columns)
-
-
-def digest(names: list[str]) -> str:
-    return hashlib.sha256(",".join(names).encode()).hexdigest()
+    return occurrences(docs, items, window).where(F.size("hits") == 0).select("_row.*")

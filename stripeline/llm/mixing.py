@@ -139,13 +139,17 @@ def plan(docs: DataFrame, mix: Mix, domain: Column | None = None) -> DataFrame:
 
 
 def select(docs: DataFrame, mix: Mix | None = None, domain: Column | None = None) -> DataFrame:
-    """The columns of docs, the leaf (_domain, _lang, _source) and _epoch, a row for each time that a document is taken."""
+    """_row (the columns of docs), the leaf (_domain, _lang, _source) and _epoch, a row for each time that a document is taken."""
     mix = mix or Mix()
     leaves = stage(plan(docs, mix, domain), "mixing-plan")
     at = place(mix.seed, F.col("full"))
     inside = (at < F.col("_last_place")) | ((at == F.col("_last_place")) & F.coalesce(F.col("doc_id") <= F.col("_last_id"), F.col("doc_id").isNull()))
     times = F.col("full") + F.when(F.col("_part") & F.coalesce(inside, F.lit(False)), 1).otherwise(0)
-    kept = docs.select("*", *_leaf(docs, domain)).join(F.broadcast(leaves), LEAF).withColumn("_times", times).where("_times > 0")
-    if mix.max_epochs == 1:
-        return kept.select(*docs.columns, *LEAF, F.lit(0).alias("_epoch"))
-    return kept.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_times") - 1))).select(*docs.columns, *LEAF, "_epoch")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", *_leaf(docs, domain))  # as a struct, no column clashes with the plan's
+    kept = rows.join(F.broadcast(leaves), LEAF).withColumn("_times", times).where("_times > 0")
+    epoch = F.lit(0) if mix.max_epochs == 1 else F.explode(F.sequence(F.lit(0), F.col("_times") - 1))
+    return kept.select("_row", *LEAF, epoch.alias("_epoch"))
+
+
+def rows_of(taken: DataFrame) -> DataFrame:
+    return taken.select("_row.*")

@@ -23,7 +23,7 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.select(table(spark, sf_dir, "documents"), mixing.Mix())
-    return taken.select("doc_id", F.col("_domain").alias("domain"), F.col("_lang").alias("lang"), F.col("_source").alias("source"), F.col("_epoch").alias("epoch"))
+    return taken.select(F.col("_row.doc_id").alias("doc_id"), F.col("_domain").alias("domain"), F.col("_lang").alias("lang"), F.col("_source").alias("source"), F.col("_epoch").alias("epoch"))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

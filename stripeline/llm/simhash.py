@@ -277,8 +277,10 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> Dat
     Rows without an id stay, as no class can name them. Of repeated rows with the kept id, one stays.
     """
     classes = simhash_classes(docs, radius, blocks)
-    kept = classes.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("_copies"))
+    kept = classes.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("copies"))
     kept = stage(kept, "simhash-kept")
-    named = docs.join(kept, "doc_id").select(*docs.columns, "_copies")
-    repeated = named.where("_copies > 1").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct(F.col("text"), F.to_json(F.struct(*(c for c in docs.columns if c != "text"))))).alias("_row")).select("_row.*")
-    return named.where("_copies = 1").select(docs.columns).union(repeated.select(docs.columns)).union(docs.where(F.col("doc_id").isNull()))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id")  # as a struct, no column clashes
+    named = rows.join(kept, "doc_id")
+    order = F.struct(F.col("_row.text"), F.to_json("_row"))
+    repeated = named.where("copies > 1").groupBy("doc_id").agg(F.min_by("_row", order).alias("_row"))
+    return named.where("copies = 1").select("_row").union(repeated.select("_row")).union(rows.where(F.col("doc_id").isNull()).select("_row")).select("_row.*")
