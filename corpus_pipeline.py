@@ -25,7 +25,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are mixed to the target weights; each document is taken once at most, so near copies don't come back as epochs."""
-    return mixing.select(docs, mixing.Mix(max_epochs=1)).select(docs.columns)
+    return mixing.rows_of(mixing.select(docs, mixing.Mix(max_epochs=1)))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
