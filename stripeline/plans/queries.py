@@ -91,23 +91,23 @@ sql("filter_like", "SELECT c_custkey, c_name FROM {customer} WHERE c_name LIKE '
 sql("filter_is_null", "SELECT event_id FROM {events} WHERE value IS NULL")
 sql("filter_is_not_null", "SELECT event_id, value FROM {events} WHERE value IS NOT NULL")
 
-# Aggregation
+# Aggregation. Averages are exact decimals, rounded half up; DuckDB averages as doubles, so its side rounds in whole numbers.
 
 query(
-    "SELECT CAST(extract(month FROM o_orderdate) AS BIGINT) AS review_month, CAST(round(avg(CAST(floor(o_totalprice) AS BIGINT)), 2) AS DOUBLE) AS average, count(*) AS n FROM orders GROUP BY 1",
+    "SELECT CAST(extract(month FROM o_orderdate) AS BIGINT) AS review_month, CAST((200 * sum(CAST(floor(o_totalprice) AS BIGINT)) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS average, count(*) AS n FROM orders GROUP BY 1",
     "rating_by_month",
 )(
     lambda spark, d: scan(spark, d, "orders", ["o_totalprice", "o_orderdate"])
     .groupBy(month_of(F.col("o_orderdate")).alias("review_month")).agg(rounded_average(F.floor("o_totalprice")).alias("average"), F.count("*").alias("n")).orderBy("review_month")
 )
 query(
-    "SELECT CAST(CASE WHEN length(p_name) < 1 THEN 0 WHEN length(p_name) >= 50 THEN 6 ELSE floor((length(p_name) - 1) * 5.0 / 49) + 1 END AS BIGINT) AS title_length_bucket, CAST(round(avg(p_size), 2) AS DOUBLE) AS average, count(*) AS n FROM part WHERE p_size > 10 GROUP BY 1",
+    "SELECT CAST(CASE WHEN length(p_name) < 1 THEN 0 WHEN length(p_name) >= 50 THEN 6 ELSE floor((length(p_name) - 1) * 5.0 / 49) + 1 END AS BIGINT) AS title_length_bucket, CAST((200 * sum(p_size) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS average, count(*) AS n FROM part WHERE p_size > 10 GROUP BY 1",
     "title_len_bucket",
 )(
     lambda spark, d: scan(spark, d, "part", ["p_name", "p_size"]).where("p_size > 10")
     .groupBy(bucket_of(F.length("p_name"), 1, 50, 5).alias("title_length_bucket")).agg(rounded_average(F.col("p_size")).alias("average"), F.count("*").alias("n")).orderBy("title_length_bucket")
 )
-query("SELECT p_brand, CAST(round(avg(p_size), 2) AS DOUBLE) AS average, count(*) AS n FROM part GROUP BY p_brand ORDER BY count(*) DESC, p_brand LIMIT 20", "category_topk")(
+query("SELECT p_brand, CAST((200 * sum(p_size) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS average, count(*) AS n FROM part GROUP BY p_brand ORDER BY count(*) DESC, p_brand LIMIT 20", "category_topk")(
     lambda spark, d: scan(spark, d, "part", ["p_brand", "p_size"]).groupBy("p_brand").agg(rounded_average(F.col("p_size")).alias("average"), F.count("*").alias("n")).orderBy(F.desc("n"), "p_brand").limit(20)
 )
 sql("group_min_max", "SELECT l_returnflag, l_linestatus, min(l_quantity) AS least, max(l_extendedprice) AS most, CAST(sum(l_quantity) AS DOUBLE) AS quantity FROM {lineitem} GROUP BY l_returnflag, l_linestatus")
