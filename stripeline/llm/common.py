@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
 import io
 import os
-import shutil
-import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -22,7 +19,7 @@ ARROW = (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("sp
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once per application, so that workers import it whatever their path is."""
+    """Sends this package to the executors once per application, through the shared folder, so that workers import it whatever their path is."""
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
@@ -34,11 +31,11 @@ def ship(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     path = os.path.join(top, name)
                     z.write(path, os.path.relpath(path, os.path.dirname(package)))
-    folder = tempfile.mkdtemp(prefix="stripeline-ship-")
-    atexit.register(shutil.rmtree, folder, True)
-    path = os.path.join(folder, f"stripeline-{uuid.uuid4().hex[:8]}.zip")
-    with open(path, "wb") as f:
-        f.write(blob.getvalue())
+    path = new_folder(spark, "stripeline") + ".zip"
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p)
+    out.write(bytearray(blob.getvalue()))
+    out.close()
     sc.addPyFile(path)
     _shipped.add(sc.applicationId)
     for name, usual, own in ARROW:

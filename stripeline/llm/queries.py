@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, pii, quality, secrets, simhash, tokencount, tokenstore, toxicity
+from . import chat, decontaminate, mixing, oracles, pii, quality, secrets, simhash, tokencount, tokenstore, toxicity
 from .common import stage, table
 
 
@@ -63,4 +63,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_decontaminate": oracles.OP6, "op10_chat": oracles.OP10}
