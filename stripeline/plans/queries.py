@@ -123,8 +123,12 @@ sql("grouping_sets", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM {lin
 
 @query("SELECT count(*) AS n, min(l_orderkey) AS least, max(l_orderkey) AS most FROM lineitem")
 def aggregate_from_metadata(spark: SparkSession, d: str) -> DataFrame:
-    """count, min and max from file and stripe statistics alone where Spark's columnar source can (settings of the session)."""
-    return scan(spark, d, "lineitem", ["l_orderkey"]).agg(F.count("*").alias("n"), F.min("l_orderkey").alias("least"), F.max("l_orderkey").alias("most"))
+    """count, least and greatest from the files' own statistics: a session of its own reads ORC through the source that pushes aggregates down."""
+    path = orc_table(spark, d, "lineitem").path
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "parquet,csv,json,text")
+    own.conf.set("spark.sql.orc.aggregatePushdown", "true")
+    return own.read.orc(path).agg(F.count("*").alias("n"), F.min("l_orderkey").alias("least"), F.max("l_orderkey").alias("most"))
 
 
 # Joins

@@ -106,3 +106,10 @@ def test_stream(spark, tmp_path):
         assert sorted(r["rows"] for r in spark.table("counts").collect()) == [5, 5, 5, 5]
     finally:
         q.stop()
+
+
+def test_aggregates_from_statistics(spark, sf):
+    from stripeline.plans.queries import aggregate_from_metadata
+
+    plan = aggregate_from_metadata(spark, sf)._jdf.queryExecution().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(l_orderkey), MAX(l_orderkey)]" in plan
