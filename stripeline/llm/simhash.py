@@ -280,7 +280,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> Dat
     kept = classes.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("copies"))
     kept = stage(kept, "simhash-kept")
     rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id")  # as a struct, no column clashes
-    named = rows.join(kept, "doc_id")
+    named = rows.join(kept.hint("merge"), "doc_id")  # the kept ids grow with the data: never broadcast, whatever their size now
     order = F.struct(F.col("_row.text"), F.to_json("_row"))
     repeated = named.where("copies > 1").groupBy("doc_id").agg(F.min_by("_row", order).alias("_row"))
     return named.where("copies = 1").select("_row").union(repeated.select("_row")).union(rows.where(F.col("doc_id").isNull()).select("_row")).select("_row.*")
