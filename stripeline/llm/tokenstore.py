@@ -1,7 +1,7 @@
 """Token ids in a content-addressed store.
 
 Encoding: the tokenizers library encodes; as this tokenizer never looks across white space, each worker keeps the
-ids of words it has met (bounded) and asks the library only for new ones, and the ids of a text are joined from them.
+ids of words it has met (bounded), asks the library for new ones, and the ids of a text are joined from them.
 Each document ends with ``END_ID``.
 
 Cutting: a rolling (buz) hash over 16 ids cuts each document's id stream where its low bits are zero, within
@@ -42,7 +42,7 @@ from .common import as_bytes, map_rows, new_folder, ship
 
 END_ID = 1
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK, WINDOW = 64, 8, 1024, 16
-#: Words and cores that a worker remembers at most; when full, it forgets all.
+#: Words that a worker remembers at most, and as many from before.
 MAX_WORDS = 250_000
 #: Chunks that a task knows to have sent; beyond, it sends some again, and the shuffle drops them.
 MAX_SENT = 1_000_000
@@ -62,13 +62,19 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = iter(range(256, 512))
+        #: The characters that stand for bytes in byte-level vocabularies.
+        self.letters = {b: chr(b) if b in set(plain) else chr(next(other)) for b in range(256)}
         self.words: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
 
-    def new(self, texts: list[str]) -> list[bytes]:
-        """The library's ids of each of texts, which hold no blanks."""
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """The library's ids of each of texts, which hold no blanks, all its steps included."""
         out = []
         for k in range(0, len(texts), 2000):
             part = texts[k : k + 2000]
@@ -81,32 +87,36 @@ class Encoder:
         return out
 
     def learn(self, words: set[bytes]) -> None:
-        """A word that is letters and a tail of commas or full stops is two pieces to the tokenizer, whatever its case."""
-        if len(self.cores) + len(words) > MAX_WORDS:
-            self.cores.clear()
-        parts = []
+        """Letters before a tail of commas and full stops are one piece, lower case, which goes straight to the library's
+        model: its other steps would leave it as it is. All other words take all steps."""
+        rest, kind, letters, model, tails = [], self.kind, self.letters, self.model.tokenize, self.tails
         for w in words:
             word = w.decode()
             core = word.rstrip(".,")
-            if core.isalpha() and max(core) < "\u0180":  # lower case there is by character
-                parts.append((w, core.lower(), word[len(core) :]))
+            low = core.lower()
+            if low.isalpha() and core.isalpha() and max(core) < "\u0180" and ((tail := word[len(core) :]) in tails or len(tails) < 1000):
+                if not low.isascii():
+                    low = low.encode().decode("latin-1").translate(letters)
+                if tail not in tails:
+                    tails[tail] = self.whole([tail])[0]
+                self.words[w] = np.array([t.id for t in model(low)], kind).tobytes() + tails[tail]
             else:
-                parts.append((w, word, ""))
-        missing = list({p for _, *ps in parts for p in ps if p and p not in self.cores})
-        self.cores.update(zip(missing, self.new(missing), strict=True))
-        cores = self.cores
-        for w, core, tail in parts:
-            self.words[w] = cores[core] + cores[tail] if tail else cores[core]
+                rest.append((w, word))
+        self.words.update(zip((w for w, _ in rest), self.whole([x for _, x in rest]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
+        own = set().union(*split)
+        missing = own - self.words.keys()
+        if len(self.words) + len(missing) > MAX_WORDS:  # the words of late stay one generation longer
+            self.older, self.words = self.words, {}
+            missing = own
+        older = self.older
+        known = {w: older[w] for w in missing if w in older}
+        self.words |= known
+        if len(known) < len(missing):
+            self.learn(missing - known.keys())
         words = self.words
-        missing = set().union(*split) - words.keys()
-        if len(words) + len(missing) > MAX_WORDS:
-            words.clear()
-            missing = set().union(*split)
-        if missing:
-            self.learn(missing)
         return [b"".join([words[w] for w in ws]) for ws in split]
 
 
