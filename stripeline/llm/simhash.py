@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, drop_folder, map_rows, new_folder, ship, stage
+from .common import as_bytes, drop_folder, map_rows, new_folder, partitions, ship, stage
 
 SHINGLE = 4
 RADIUS = 4
@@ -108,7 +108,7 @@ def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, large: int
         routed = routed.withColumn("part", F.lit(0))
     groups = (
         routed.select("route", "bits", "part", "fp", gray_rank(F.col("fp")).alias("rank"))
-        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "route", "bits", "part")
+        .repartition(partitions(fps, 3.0 * len(masks(radius, blocks))), "route", "bits", "part")
         .sortWithinPartitions("route", "bits", "part", "rank")
         .select("route", "bits", "part", "fp")
     )

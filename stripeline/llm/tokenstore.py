@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, map_rows, new_folder, ship
+from .common import as_bytes, map_rows, new_folder, partitions, ship
 
 END_ID = 1
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK, WINDOW = 64, 8, 1024, 16
@@ -268,7 +268,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None) -> str:
     spark = docs.sparkSession
     tokenizer = tokenizer or default_tokenizer()
     rows = chunk_rows(docs, tokenizer)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions(docs)
     # Payloads meet by digest, at most one from each task; rows without payload may go anywhere, so a chunk that very
     # many documents share doesn't gather in one task.
     place = F.when(F.col("payload").isNotNull(), F.xxhash64("digest")).otherwise(F.xxhash64("row", "seq"))
