@@ -61,7 +61,7 @@ def stage(df: DataFrame, what: str) -> DataFrame:
 
 def partitions(df: DataFrame, grows: float = 1.0, each: int = 64 << 20) -> int:
     """Shuffle partitions for what is made of df, grows times its size: the session's number, or more, so that a partition stays near each bytes."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, min(1 << 20, int(size * grows / each)) if size < 1 << 60 else 0)
 
