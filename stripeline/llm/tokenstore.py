@@ -25,6 +25,7 @@ Defined cases: null and empty texts hold only the end id; null ids come first, r
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -34,6 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +73,8 @@ class Encoder:
         self.letters = {b: chr(b) if b in set(plain) else chr(next(other)) for b in range(256)}
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.tails: dict[str, bytes] = {"": b""}
+        self.tails: dict[bytes, bytes] = {b"": b""}
+        self.codes = [np.array([k], self.kind).tobytes() for k in range(self.tokenizer.get_vocab_size())]
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """The library's ids of each of texts, which hold no blanks, all its steps included."""
@@ -89,23 +92,30 @@ class Encoder:
     def learn(self, words: set[bytes]) -> None:
         """Letters before a tail of commas and full stops are one piece, lower case, which goes straight to the library's
         model: its other steps would leave it as it is. All other words take all steps."""
-        rest, kind, letters, model, tails = [], self.kind, self.letters, self.model.tokenize, self.tails
+        rest, known, tails, model, codes = [], self.words, self.tails, self.model.tokenize, self.codes
         for w in words:
-            word = w.decode()
-            core = word.rstrip(".,")
-            low = core.lower()
-            if low.isalpha() and core.isalpha() and max(core) < "\u0180" and ((tail := word[len(core) :]) in tails or len(tails) < 1000):
-                if not low.isascii():
-                    low = low.encode().decode("latin-1").translate(letters)
-                if tail not in tails:
-                    tails[tail] = self.whole([tail])[0]
-                self.words[w] = np.array([t.id for t in model(low)], kind).tobytes() + tails[tail]
+            core = w.rstrip(b".,")
+            tail = w[len(core) :]
+            if tail not in tails:
+                if len(tails) > 1000:
+                    rest.append(w)
+                    continue
+                tails[tail] = self.whole([tail.decode()])[0]
+            if core.isalpha():  # bytes: ASCII letters
+                low = core.lower().decode()
             else:
-                rest.append((w, word))
-        self.words.update(zip((w for w, _ in rest), self.whole([x for _, x in rest]), strict=True))
+                word = core.decode()
+                low = word.lower()
+                if not (word.isalpha() and low.isalpha() and max(word) < "\u0180"):
+                    rest.append(w)
+                    continue
+                low = low.encode().decode("latin-1").translate(self.letters)
+            met = (known.get(core) or self.older.get(core)) if tail else None
+            known[w] = (met or b"".join([codes[t.id] for t in model(low)])) + tails[tail]
+        known.update(zip(rest, self.whole([w.decode() for w in rest]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+        split = [lowered(t).split() for t in texts]
         own = set().union(*split)
         missing = own - self.words.keys()
         if len(self.words) + len(missing) > MAX_WORDS:  # the words of late stay one generation longer
@@ -120,8 +130,15 @@ class Encoder:
         return [b"".join([words[w] for w in ws]) for ws in split]
 
 
+def lowered(text: bytes) -> bytes:
+    """ASCII letters in lower case, as the tokenizer would make them later; not where a special token's string or a
+    combining mark (U+0300 to U+036F) might tell the cases apart."""
+    return text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else text.lower()
+
+
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
+    gc.set_threshold(200_000, 50, 50)  # a worker holds many words, which collections walk in vain
     return Encoder(path)
 
 
@@ -195,23 +212,39 @@ def _times(a: int, b: int) -> int:
     return out
 
 
-@lru_cache(1 << 16)
-def _shift(n: int) -> int:
-    """x to the power 8n."""
-    out, base = 1 << 31, 1 << 23
-    while n:
-        if n & 1:
-            out = _times(base, out)
+@lru_cache(1)
+def _shifts(bits: int = 40) -> np.ndarray:
+    """Tables [k][byte's place][byte's value]: a CRC times x to the power 8 * 2^k, by the CRC's bytes."""
+    out, base = np.zeros((bits, 4, 256), np.uint32), 1 << 23
+    for k in range(bits):
+        columns = [_times(base, 1 << b) for b in range(32)]
+        for place in range(4):
+            for value in range(256):
+                x = 0
+                for b in range(8):
+                    if value >> b & 1:
+                        x ^= columns[8 * place + b]
+                out[k, place, value] = x
         base = _times(base, base)
-        n >>= 1
     return out
 
 
-def crc_join(parts: list[tuple[int, int]]) -> int:
-    """CRC-32 of a concatenation, from (crc, bytes) of its parts."""
-    out = 0
-    for crc, n in parts:
-        out = _times(_shift(n), out) ^ crc
+def crc_joins(crcs: np.ndarray, lengths: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """CRC-32 of each concatenation of parts, from their CRCs and lengths in bytes; offsets: where each begins, and the end.
+    A part's CRC, shifted by the bytes after it, is what it gives to the whole."""
+    out = np.zeros(len(offsets) - 1, np.uint32)
+    if not len(crcs):
+        return out
+    up_to = np.cumsum(lengths)
+    sizes = np.diff(offsets)
+    after = np.repeat(up_to[np.maximum(offsets[1:] - 1, 0)], sizes) - up_to
+    x, tables = crcs.astype(np.uint32), _shifts()
+    for k in range(int(after.max()).bit_length()):
+        some = np.flatnonzero(after >> k & 1)
+        v, t = x[some], tables[k]
+        x[some] = t[0][v & 255] ^ t[1][v >> 8 & 255] ^ t[2][v >> 16 & 255] ^ t[3][v >> 24]
+    own = sizes > 0
+    out[own] = np.bitwise_xor.reduceat(x, offsets[:-1][own])
     return out
 
 
@@ -256,10 +289,13 @@ def _first_payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Rows come sorted by digest, those with payload first: the first of each digest keeps it."""
     last = None
     for batch in batches:
-        digests = batch.column(4).to_pylist()
-        first = [d != p for p, d in zip([last, *digests], digests, strict=False)]
-        last = digests[-1] if digests else last
-        payload = pa.array([x if keep else None for x, keep in zip(batch.column(5).to_pylist(), first, strict=True)], pa.binary())
+        if not batch.num_rows:
+            continue
+        digests = batch.column(4)
+        before = pa.concat_arrays([pa.array([last], digests.type), digests.slice(0, batch.num_rows - 1)])
+        first = pc.fill_null(pc.not_equal(digests, before), True)
+        last = digests[-1].as_py()
+        payload = pc.if_else(first, batch.column(5), pa.scalar(None, batch.column(5).type))
         yield pa.RecordBatch.from_arrays([*batch.columns[:5], payload], batch.schema.names)
 
 
@@ -370,11 +406,18 @@ def summary(spark: SparkSession, folder: str) -> DataFrame:
     width = top["width"]
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sums = []
-        for digest, n, payload in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            if address(payload) != digest or len(payload) != n * width:
+        payload = batch.column(2).cast(pa.binary())
+        bounds = np.frombuffer(payload.buffers()[1], np.int32, batch.num_rows + 1, 4 * payload.offset).astype(np.int64)
+        data = memoryview(payload.buffers()[2]) if payload.buffers()[2] is not None else memoryview(b"")
+        if (np.diff(bounds) != width * batch.column(1).to_numpy().astype(np.int64)).any():
+            raise ValueError("a chunk has not as many ids as it should")
+        wide = memoryview(np.frombuffer(data, f"<u{width}", (int(bounds[-1]) - int(bounds[0])) // width, int(bounds[0])).astype("<u4").tobytes())
+        sums, at = [], bounds.tolist()
+        low = at[0]
+        for digest, a, b in zip(batch.column(0).to_pylist(), at, at[1:], strict=False):
+            if address(data[a:b]) != digest:
                 raise ValueError(f"chunk {digest.hex()} is damaged")
-            sums.append(zlib.crc32(np.frombuffer(payload, f"<u{width}").astype("<u4").tobytes()))
+            sums.append(zlib.crc32(wide[(a - low) * 4 // width : (b - low) * 4 // width]))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.int64())], ["digest", "crc"])
 
     sums = map_rows(chunks, lambda: check, "digest binary, crc long")
@@ -384,12 +427,16 @@ def summary(spark: SparkSession, folder: str) -> DataFrame:
     whole = recipes.select("doc_id", "row", "start", "n_tokens", "root", F.size("chunks").alias("k")).join(own, "row", "left")
 
     def join(batch: pa.RecordBatch) -> pa.RecordBatch:
-        crcs = []
-        for own, root, k in zip(*(batch.column(c).to_pylist() for c in ("own", "root", "k")), strict=True):
-            if len(own or ()) != k or merkle([x["digest"] for x in own]) != root:
+        own, roots = batch.column("own"), batch.column("root").to_pylist()
+        sizes = pc.fill_null(pc.list_value_length(own), 0).to_numpy().astype(np.int64)
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
+        parts = own.flatten()
+        digests, at = parts.field("digest").to_pylist(), offsets.tolist()
+        for root, k, a, b in zip(roots, batch.column("k").to_pylist(), at, at[1:], strict=False):
+            if b - a != k or merkle(digests[a:b]) != root:
                 raise ValueError("a document's chunks don't match its root")
-            crcs.append(crc_join([(x["crc"], 4 * x["n"]) for x in own]))
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+        crcs = crc_joins(parts.field("crc").to_numpy(), 4 * parts.field("n").to_numpy().astype(np.int64), offsets)
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(crcs.astype(np.int64))], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return map_rows(whole, lambda: join, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 

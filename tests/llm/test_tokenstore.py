@@ -66,8 +66,11 @@ def test_damage_is_found(frame, spark, tmp_path):
 
 def test_crc_arithmetic():
     rng = np.random.default_rng(3)
-    parts = [rng.bytes(int(n)) for n in (0, 1, 7, 1000, 4096)]
-    assert ts.crc_join([(zlib.crc32(p), len(p)) for p in parts]) == zlib.crc32(b"".join(parts))
+    wholes = [[rng.bytes(int(n)) for n in sizes] for sizes in ((0, 1, 7, 1000, 4096), (), (5,), (70_000, 3), (1,) * 300)]
+    parts = [p for w in wholes for p in w]
+    offsets = np.concatenate(([0], np.cumsum([len(w) for w in wholes])))
+    got = ts.crc_joins(np.array([zlib.crc32(p) for p in parts]), np.array([len(p) for p in parts]), offsets)
+    assert got.tolist() == [zlib.crc32(b"".join(w)) for w in wholes]
 
 
 def test_rolling_hash_depends_on_its_window_only():
