@@ -143,6 +143,21 @@ sql("join_in", "SELECT s_suppkey FROM {supplier} WHERE s_nationkey IN (SELECT n_
 sql("join_theta", "SELECT a.n_nationkey AS a, b.n_nationkey AS b FROM {nation} a JOIN {nation} b ON a.n_nationkey < b.n_nationkey")
 sql("join_cross", "SELECT r_regionkey, n_nationkey FROM {region} CROSS JOIN {nation}")
 
+#: A side is broadcast only if its files are no larger.
+BROADCAST_BYTES = 10 << 20
+
+
+@query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def join_broadcast(spark: SparkSession, d: str) -> DataFrame:
+    """The small side is broadcast if its files' size allows it; else Spark chooses."""
+    table = orc_table(spark, d, "nation")
+    small = table.scan()
+    if sum(size for _, size in table.files()) <= BROADCAST_BYTES:
+        small = F.broadcast(small)
+    customers = scan(spark, d, "customer", ["c_custkey", "c_nationkey"])
+    return customers.join(small, customers.c_nationkey == small.n_nationkey).select("c_custkey", "n_name")
+
+
 # Windows, sorting, sets, subqueries
 
 sql("window_rank", "SELECT p_partkey, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS BIGINT) AS nth, CAST(rank() OVER (PARTITION BY p_brand ORDER BY p_size) AS BIGINT) AS rank, CAST(dense_rank() OVER (PARTITION BY p_brand ORDER BY p_size) AS BIGINT) AS dense, CAST(ntile(4) OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS BIGINT) AS quarter FROM {part}")
