@@ -47,14 +47,15 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"))
 
 
-#: Of the contract: a conversation whose texts hold the template's own marks.
-EXTRA_CHAT = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+#: Of the contract: what both turns of conversation -7 say, the template's own marks.
+EXTRA_CHAT = "\\### Assistant: </turn> ok"
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    turns = turns.union(spark.createDataFrame(EXTRA_CHAT, "conv_id long, turn long, role string, text string"))
-    return chat.digests(stage(chat.formatted(turns), "chats"))
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(EXTRA_CHAT).alias("text"))
+    return chat.digests(stage(chat.formatted(turns.union(extra)), "chats"))
 
 
 def queries() -> dict:
