@@ -16,8 +16,10 @@ def bucket_of(x: Column, low: int, high: int, n: int) -> Column:
 
 
 def rounded_average(x: Column, digits: int = 2) -> Column:
-    """Average of whole numbers as exact decimals, rounded half up."""
-    return F.round(F.avg(x.cast("decimal(20,0)")), digits).cast("double")
+    """Average of whole numbers, rounded once, half away from zero: an average of decimals would be rounded to fewer digits before."""
+    total, n = F.sum(x.cast("decimal(20,0)")), F.count(x)
+    a, b = F.abs(total) * (2 * 10**digits) + n, n * 2
+    return F.when(n > 0, F.sign(total) * ((a - a % b) / b).cast("double") / 10**digits)
 
 
 def rendered(items: Column) -> Column:

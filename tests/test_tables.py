@@ -175,3 +175,12 @@ def test_declared_types():
     assert Declared.parse("double precision").family == "float8" and Declared.parse("CHAR").size == 1
     with pytest.raises(ValueError, match="unknown column type"):
         Declared.parse("POINT")
+
+
+def test_rounded_average(spark):
+    from stripeline.functions.scalar import rounded_average
+
+    rows = spark.createDataFrame([(1, 1), (1, 2), (2, -1), (2, -2), (3, 0), (4, None), (5, 5), (5, None), *[(6, 29)] * 87, *[(6, 30)] * 40], "k int, v int")
+    got = dict(map(tuple, rows.groupBy("k").agg(rounded_average(F.col("v"), 0).alias("a")).collect()))
+    assert got == {1: 2.0, 2: -2.0, 3: 0.0, 4: None, 5: 5.0, 6: 29.0}
+    assert rows.where("k = 6").agg(rounded_average(F.col("v")).alias("a")).first().a == 29.31  # 29.31496
