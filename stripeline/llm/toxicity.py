@@ -2,7 +2,8 @@
 
 Folding lower-cases, maps homoglyphs (full-width forms, Cyrillic and Greek look-alikes) and digit or symbol
 substitutions to letters, and turns everything else into blanks. As ``1``, ``!`` and ``|`` stand for ``i`` as
-well as ``l``, these letters fold to one. Lexicon entries are word stems; an entry matches at the start of a word.
+well as ``l``, these letters fold to one. Lexicon entries are word stems, which match at the start of a word, or whole
+words, which end with a blank and match nothing longer.
 
 The lexicon, its weights and the calibration are learned from at most ``MAX_LABELLED`` labelled rows
 (those with the smallest hash of their id), never from held-out rows. Scoring covers every whole text.
@@ -31,7 +32,8 @@ MAX_LABELLED = 6000
 #: At most so many entries in the lexicon, the strongest first.
 MAX_TERMS = 4000
 THRESHOLD = 0.3
-STEMS = (4, 5, 6)
+#: Lengths of stems; whole words of the least length or more are candidates too.
+STEMS = tuple(range(4, 13))
 MIN_G2 = 15.0
 
 #: Characters that stand for a letter.
@@ -99,7 +101,7 @@ class Lexicon:
 
     def hits(self, text: str) -> tuple[float, int, int]:
         """Sum of weights, number of matched words, number of words."""
-        flat = " " + fold(text)
+        flat = " " + fold(text) + " "
         words = len(flat.split())
         a = self.automaton()
         if not len(a) or not words:
@@ -138,7 +140,7 @@ def labelled(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> D
 
 
 def learn(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> Lexicon:
-    """Terms (word stems of 4 to 6 letters) that G-squared ties to the label, weighted by log odds; then the calibration."""
+    """Terms (word stems of 4 to 12 letters, and whole words) that G-squared ties to the label, weighted by log odds; then the calibration."""
     spark = docs.sparkSession
     rows = labelled(docs, labels, bound)
     words = map_rows(rows.select("text", "toxic"), _stems, "toxic int, terms array<string>").cache()
@@ -166,13 +168,14 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> Lexi
 
 
 def reduced(terms: dict[str, tuple[int, float]]) -> dict[str, float]:
-    """Without stems that a longer one matches as often, and without longer ones whose stem is kept."""
-    kept = dict(terms)
+    """Without stems that a longer one matches as often, and without longer ones or words whose stem is kept."""
+    kept, sizes = dict(terms), sorted({len(t) for t in terms})
+    shorter = lambda t: (t[:k] for k in sizes if k < len(t))
     for t in sorted(terms, key=len):
-        for k in range(min(STEMS), len(t)):
-            if t[:k] in kept and terms[t[:k]][0] <= terms[t][0]:
-                del kept[t[:k]]
-    return {t: w for t, (_, w) in kept.items() if not any(t[:k] in kept for k in range(min(STEMS), len(t)))}
+        for stem in shorter(t) if t[-1] != " " else ():  # a stem also finds other forms than the word
+            if stem in kept and terms[stem][0] <= terms[t][0]:
+                del kept[stem]
+    return {t: w for t, (_, w) in kept.items() if not any(x in kept for x in shorter(t))}
 
 
 def _stems():
@@ -181,9 +184,10 @@ def _stems():
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for text in batch.column(0).to_pylist():
-            words = set(word.findall(fold(text or "")))
-            out.append(sorted({w[:k] for w in words for k in STEMS if len(w) >= k}))
-        return pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.list_(pa.string()))], ["toxic", "terms"])
+            words = {w for w in word.findall(fold(text or "")) if len(w) >= min(STEMS)}
+            terms = {w[:k] for w in words for k in STEMS if len(w) >= k} | {w + " " for w in words}
+            out.append(pa.array([sorted(terms)], pa.list_(pa.string())))  # Arrow at once: smaller than Python's strings
+        return pa.RecordBatch.from_arrays([batch.column(1), pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.string()))], ["toxic", "terms"])
 
     return run
 

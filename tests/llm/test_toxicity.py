@@ -73,3 +73,27 @@ def test_held_out_accuracy(spark, sf):
     assert not [r for r in rows if r.predicted and not r.toxic]
     english = [r.predicted for r in rows if r.toxic and r.lang == "en"]
     assert sum(english) >= 0.9 * len(english)
+
+
+def test_words_that_differ_late(frame, labels):
+    """Toxic and clean words that share their first six letters, and a toxic word that is the stem of clean ones."""
+    rows, marks = [], []
+    for k in range(400):
+        bad = k % 8 == 0
+        own = ["common", "words"] + (["grumpfish", "snot"] if bad else ["grumpfer", "snotten"])
+        rows.append((k, " ".join(own)))
+        marks.append((k, 1, int(bad)))
+    lexicon = tx.learn(frame(rows), labels(marks))
+    assert set(lexicon.weights) == {"grumpfish", tx.fold("snot") + " "}
+    assert lexicon.hits("a grumpfishes snot")[1] == 2 and lexicon.hits("grumpfer snotten")[1] == 0
+    assert all(r.predicted == int(r.doc_id % 8 == 0) for r in tx.score(frame(rows), lexicon).collect())
+
+
+def test_held_out_recall_by_language(spark, sf):
+    big = sf.replace("sf0.001", "sf0.1")
+    docs, marks = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
+    got = tx.toxicity(docs, marks).join(marks, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    for lang in ("en", "de", "fr", "es"):
+        found = [r.predicted for r in got if r.toxic and r.lang == lang]
+        print(lang, sum(found), "of", len(found), "toxic found;", sum(r.predicted for r in got if not r.toxic and r.lang == lang), "of", sum(not r.toxic and r.lang == lang for r in got), "clean rejected")
+        assert found and sum(found) >= 0.9 * len(found), lang
