@@ -170,8 +170,9 @@ class Field:
         n = len(KINDS) + 1
         return cls(np.zeros((WIDTH, n)), np.zeros((n, n)), np.zeros((n, n)))
 
-    def marginals(self, feats: np.ndarray, chain: list, skip: list, clamped: np.ndarray | None = None, rounds: int = ROUNDS, damping: float = DAMPING) -> np.ndarray:
-        """Loopy sum-product in logs. feats: a row of indices for each node; clamped: its known label, or -1. Exact on trees, if rounds cover them."""
+    def marginals(self, feats: np.ndarray, chain: list, skip: list, clamped: np.ndarray | None = None, rounds: int | None = None, damping: float = DAMPING) -> np.ndarray:
+        """Loopy sum-product in logs. feats: a row of indices for each node; clamped: its known label, or -1. Exact on trees, if rounds cover them.
+        Rounds end when the messages settle; unless given, their bound grows with the longest skip chain."""
         n = len(feats)
         unary = self.node[feats].sum(axis=1)
         if clamped is not None and (clamped >= 0).any():
@@ -185,7 +186,7 @@ class Field:
             tables = np.concatenate([tables, tables.transpose(0, 2, 1)])
             back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
             sent = np.zeros((len(source), unary.shape[1]))
-            for _ in range(rounds):
+            for _ in range(ROUNDS + 2 * longest(skip) if rounds is None else rounds):  # damped messages need more than a round a hop
                 total = unary.copy()
                 np.add.at(total, target, sent)
                 new = logsum((total[source] - sent[back])[:, :, None] + tables, 1)
@@ -199,6 +200,14 @@ class Field:
         return np.exp(unary - logsum(unary, 1)[:, None]) if n else np.zeros((0, len(KINDS) + 1))
 
 
+def longest(skip: list[tuple[int, int]]) -> int:
+    """Edges on the longest chain of skip edges, each from an earlier node to a later one."""
+    hops: dict[int, int] = {}
+    for a, b in sorted(skip):
+        hops[b] = max(hops.get(b, 0), hops.get(a, 0) + 1)
+    return max(hops.values(), default=0)
+
+
 def logsum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis=axis, keepdims=True)
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))

@@ -80,3 +80,14 @@ def test_rows(frame, odd_rows, spark, sf):
         assert r.base_sha256 == hashlib.sha256(pii.joined(want).encode()).hexdigest()
         assert set(pii.joined(want).split(",")) <= set(r.spans.split(","))
         assert len(r.spans.split(",")) == len(want) + r.n_added or not r.spans
+
+
+def test_messages_reach_far_mentions():
+    """Of 61 mentions of a form only the first is known."""
+    n, far = len(pii.KINDS) + 1, [(k, k + 1) for k in range(60)]
+    field = pii.Field(np.zeros((pii.WIDTH, n)), np.zeros((n, n)), 8 * np.eye(n))
+    feats, known = np.array([pii.features("7654321", "")] * 61), np.array([4] + [-1] * 60)
+    got = field.marginals(feats, [], far, known)
+    step = np.exp(8 * np.eye(n))
+    want = np.linalg.matrix_power(step / step.sum(axis=1), 60)[4]
+    assert np.abs(got[60] - want).max() < 1e-3 and got[60, 4] >= pii.SURE
