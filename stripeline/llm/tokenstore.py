@@ -1,8 +1,9 @@
 """Token ids in a content-addressed store.
 
-Encoding: the tokenizers library encodes; as this tokenizer never looks across white space, each worker keeps the
-ids of words it has met (bounded), asks the library for new ones, and the ids of a text are joined from them.
-Each document ends with ``END_ID``.
+Encoding: the tokenizers library encodes. Where the tokenizer's file says that it drops white space and never looks
+across it (``BY_WORDS``), each worker keeps the ids of words it has met (bounded), asks the library for new ones, and
+the ids of texts are gathered from them; with any other file the library gets whole texts. Each document ends with
+``END_ID``.
 
 Cutting: a rolling (buz) hash over 16 ids cuts each document's id stream where its low bits are zero, within
 ``MIN_CHUNK`` and ``MAX_CHUNK`` ids, so equal passages give equal chunks wherever they stand. A chunk's address is
@@ -25,6 +26,7 @@ Defined cases: null and empty texts hold only the end id; null ids come first, r
 
 from __future__ import annotations
 
+import codecs
 import gc
 import hashlib
 import json
@@ -45,7 +47,9 @@ from .common import as_bytes, map_rows, new_folder, partitions, ship
 END_ID = 1
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK, WINDOW = 64, 8, 1024, 16
 #: Words that a worker remembers at most, and as many from before.
-MAX_WORDS = 250_000
+MAX_WORDS = 500_000
+#: Bytes of a word's tail of punctuation at most, else the word is looked at as a whole; tails that a worker remembers.
+TAIL, MAX_TAILS = 8, 10_000
 #: Chunks that a task knows to have sent; beyond, it sends some again, and the shuffle drops them.
 MAX_SENT = 1_000_000
 
@@ -56,25 +60,56 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The steps before the model of tokenizers that can be encoded by words.
+BY_WORDS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+#: ASCII characters that are neither letters nor digits nor blanks: a run of them after letters is a piece of its own.
+PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+#: Characters that the steps before the model may change beyond lower case, or that take two characters in lower case.
+BEYOND = r"[^\x{0}-\x{17f}]|\x{130}"
+
+
 class Encoder:
-    """ids of texts, by words. For tokenizers that drop white space and never look across it."""
+    """ids of texts: by words where the tokenizer drops white space and never looks across it, else whole texts by the library."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
+        with open(path, encoding="utf-8") as f:
+            steps = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        most = max(self.tokenizer.get_vocab().values(), default=0)
+        self.width = 2 if most < 1 << 16 else 4
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
+        suffix = steps["model"].get("end_of_word_suffix")
+        self.by_words = bool(suffix) and not steps["model"].get("dropout") and all(steps.get(k) == v for k, v in BY_WORDS.items()) and all(not t["normalized"] and not t["single_word"] for t in steps["added_tokens"])
+        if not self.by_words:
+            return
+        #: The library's model alone, for words that its other steps would leave as they are; a word's last token has the suffix.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        self.last = np.zeros(most + 1, bool)
+        self.last[[k for t, k in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = iter(range(256, 512))
-        #: The characters that stand for bytes in byte-level vocabularies.
-        self.letters = {b: chr(b) if b in set(plain) else chr(next(other)) for b in range(256)}
+        #: The characters that stand for bytes in byte-level vocabularies; a blank stays.
+        letters = [chr(b) if b in set(plain) else chr(next(other)) for b in range(256)]
+        self.letters = "".join([*letters[:32], " ", *letters[33:]])
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.tails: dict[bytes, bytes] = {b"": b""}
-        self.codes = [np.array([k], self.kind).tobytes() for k in range(self.tokenizer.get_vocab_size())]
+        self.tails: dict[int, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """The library's ids of each of texts, which hold no blanks, all its steps included."""
@@ -89,45 +124,135 @@ class Encoder:
             out += [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
         return out
 
-    def learn(self, words: set[bytes]) -> None:
-        """Letters before a tail of commas and full stops are one piece, lower case, which goes straight to the library's
-        model: its other steps would leave it as it is. All other words take all steps."""
-        rest, known, tails, model, codes = [], self.words, self.tails, self.model.tokenize, self.codes
-        for w in words:
-            core = w.rstrip(b".,")
-            tail = w[len(core) :]
-            if tail not in tails:
-                if len(tails) > 1000:
-                    rest.append(w)
-                    continue
-                tails[tail] = self.whole([tail.decode()])[0]
-            if core.isalpha():  # bytes: ASCII letters
-                low = core.lower().decode()
-            else:
-                word = core.decode()
-                low = word.lower()
-                if not (word.isalpha() and low.isalpha() and max(word) < "\u0180"):
-                    rest.append(w)
-                    continue
-                low = low.encode().decode("latin-1").translate(self.letters)
-            met = (known.get(core) or self.older.get(core)) if tail else None
-            known[w] = (met or b"".join([codes[t.id] for t in model(low)])) + tails[tail]
-        known.update(zip(rest, self.whole([w.decode() for w in rest]), strict=True))
+    def modelled(self, words: list[str]) -> list[bytes]:
+        """The model's ids of each word."""
+        out = []
+        for k in range(0, len(words), 2000):
+            ids = np.array(self.model.encode_batch_fast([" ".join(words[k : k + 2000])], add_special_tokens=False)[0].ids, self.kind)
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * self.width).tolist()
+            if len(ends) != len(words[k : k + 2000]):
+                raise ValueError("the vocabulary has words without a last token")
+            flat = ids.tobytes()
+            out += [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return out
+
+    def learn(self, words: list[bytes]) -> list[bytes]:
+        """ids of each word. Letters alone are one piece, lower case, which goes straight to the model: the library's other
+        steps would leave it as it is. All other words take all steps."""
+        if not words:
+            return []
+        plain = letters_only(pa.array(words, pa.large_binary()).view(pa.large_string())).tolist()
+        low = b" ".join([w for w, p in zip(words, plain, strict=True) if p]).decode().lower()
+        if not low.isascii():
+            low = codecs.charmap_decode(low.encode(), "strict", self.letters)[0]
+        ids = iter(self.modelled(low.split(" ")) if low else ())
+        odd = iter(self.whole([w.decode() for w, p in zip(words, plain, strict=True) if not p]))
+        return [next(ids) if p else next(odd) for p in plain]
+
+    def tail(self, key: int) -> bytes:
+        """ids of a tail of punctuation, from tail_keys()."""
+        out = self.tails.get(key)
+        if out is None:
+            if len(self.tails) > MAX_TAILS:
+                self.tails.clear()
+            out = self.tails[key] = self.whole([key.to_bytes(TAIL).lstrip(b"\0").decode()])[0]
+        return out
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [lowered(t).split() for t in texts]
-        own = set().union(*split)
-        missing = own - self.words.keys()
+    def known(self, words: list[bytes]) -> list[bytes]:
+        """ids of each of words; remembers them."""
+        found = list(map(self.words.get, words))
+        missing = [k for k, x in enumerate(found) if x is None]
         if len(self.words) + len(missing) > MAX_WORDS:  # the words of late stay one generation longer
             self.older, self.words = self.words, {}
-            missing = own
-        older = self.older
-        known = {w: older[w] for w in missing if w in older}
-        self.words |= known
-        if len(known) < len(missing):
-            self.learn(missing - known.keys())
-        words = self.words
-        return [b"".join([words[w] for w in ws]) for ws in split]
+        new = []
+        for k in missing:
+            x = found[k] = self.older.get(words[k])
+            if x is None:
+                new.append(k)
+        for k, x in zip(new, self.learn([words[k] for k in new]), strict=True):
+            found[k] = x
+        self.words.update((words[k], found[k]) for k in missing)
+        return found
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """ids of each of texts, little-endian."""
+        ids, bounds = self.streams(texts)
+        return [ids[a : b - 1].tobytes() for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False)]
+
+    def streams(self, texts: list[bytes], end: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+        """ids of all texts, each followed by end, and where each text's begin (one more: the end)."""
+        if not self.by_words:
+            found = [np.array([*self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, end], self.kind) for t in texts]
+            return np.concatenate([*found, np.empty(0, self.kind)]), np.cumsum([0, *map(len, found)])
+        split = pc.ascii_split_whitespace(pa.array([lowered(t) for t in texts], pa.large_binary()).view(pa.large_string()))
+        values = split.flatten()
+        # A word is letters and a tail of punctuation, which are pieces of their own, or else stands as it is.
+        core = pc.ascii_rtrim(values, PUNCTUATION)
+        tail = numbers(pc.subtract(pc.binary_length(values), pc.binary_length(core)))
+        core = core.dictionary_encode()
+        first = numbers(core.indices).astype(np.int64)
+        odd = (tail > 0) & ~letters_only(core.dictionary)[first] | (tail > TAIL)
+        whole = values.filter(pa.array(odd)).dictionary_encode()
+        tailed = (tail > 0) & ~odd
+        keys = pa.array(tail_keys(values, tail, tailed)).dictionary_encode()
+        used = np.zeros(len(core.dictionary), bool)
+        used[first[~odd]] = True
+        cores = np.flatnonzero(used)
+        first = np.cumsum(used)[first] - 1
+        first[odd] = len(cores) + numbers(whole.indices)
+        ids = self.known([*sliced(core.dictionary.filter(pa.array(used))), *sliced(whole.dictionary)])
+        second = len(ids) + numbers(keys.indices)
+        ids += [*map(self.tail, keys.dictionary.to_pylist()), np.array([end], self.kind).tobytes()]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
+        pool, begins = np.frombuffer(b"".join(ids), self.kind), np.cumsum(sizes) - sizes
+        # Numbers of cores, each followed by that of its tail, if it has one; after each text that of the last entry, the end id.
+        after = np.cumsum(tailed)
+        at = np.arange(len(first)) + after - tailed
+        each = np.empty(len(first) + (int(after[-1]) if len(after) else 0), np.int64)
+        each[at] = first
+        each[at[tailed] + 1] = second
+        ends = np.cumsum(numbers(split.value_lengths()).astype(np.int64))
+        ends += np.concatenate(([0], after))[ends]
+        each = np.insert(each, ends, len(ids) - 1)
+        lengths = sizes[each]
+        upto = np.cumsum(lengths)
+        out = np.empty(int(upto[-1]) if len(upto) else 0, self.kind)
+        for k in range(0, len(each), 1 << 18):  # in blocks, as a text may be very long
+            part, own = each[k : k + (1 << 18)], lengths[k : k + (1 << 18)]
+            a, b = int(upto[k] - own[0]), int(upto[min(k + (1 << 18), len(each)) - 1])
+            out[a:b] = pool[np.repeat(begins[part] - (np.cumsum(own) - own), own) + np.arange(b - a)]
+        return out, np.concatenate(([0], upto[ends + np.arange(len(texts))]))
+
+
+def numbers(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
+
+
+def letters_only(words: pa.Array) -> np.ndarray:
+    """Whether each word is letters that the steps before the model only lower-case."""
+    return numbers(pc.and_not(pc.utf8_is_alpha(words), pc.match_substring_regex(words, BEYOND))).astype(bool)
+
+
+def tail_keys(words: pa.LargeStringArray, sizes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The last bytes of the chosen words, sizes of them (TAIL at most), as numbers."""
+    n = sizes[chosen]
+    out = np.zeros(len(n), np.uint64)
+    if len(n):
+        data = np.frombuffer(words.buffers()[2], np.uint8)
+        last = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, 8 * words.offset)[1:][chosen] - 1
+        for k in range(int(n.max())):
+            own = n > k
+            out[own] |= data[last[own] - k].astype(np.uint64) << np.uint64(8 * k)
+    return out
+
+
+def sliced(column: pa.LargeStringArray) -> list[bytes]:
+    """Bytes of each value of a column without nulls: faster than one by one."""
+    if not len(column):
+        return []
+    bounds = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset).tolist()
+    data = column.buffers()[2].to_pybytes() if column.buffers()[2] is not None else b""
+    return [data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
 def lowered(text: bytes) -> bytes:
@@ -254,37 +379,47 @@ def chunk_rows(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        row, end = TaskContext.get().partitionId() << 33, np.array([END_ID], enc.kind).tobytes()
+        row = TaskContext.get().partitionId() << 33
         sent: set[bytes] = set()
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                streams = [x + end for x in enc.encode(as_bytes(part.column(1)))]
-                data = b"".join(streams)
-                sizes = np.array([len(x) for x in streams]) // enc.width
-                bounds = np.concatenate(([0], np.cumsum(sizes)))
-                owners, seqs, ns, digests, payloads = [], [], [], [], []
-                for d, own in enumerate(cuts(np.frombuffer(data, enc.kind), bounds)):
-                    last = int(bounds[d])
-                    for seq, at in enumerate(own):
-                        payload = data[last * enc.width : at * enc.width]
-                        owners.append(d)
-                        seqs.append(seq)
-                        ns.append(at - last)
-                        digests.append(digest := address(payload))
-                        payloads.append(None if digest in sent else payload)
-                        sent.add(digest)
-                        last = at
-                owners = np.array(owners)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owners)), pa.array(owners + row), pa.array(seqs, pa.int32()), pa.array(ns, pa.int32()), pa.array(digests, pa.binary()), pa.array(payloads, pa.binary())], ["doc_id", "row", "seq", "n", "digest", "payload"])
-                row += part.num_rows
-                if len(sent) > MAX_SENT:
-                    sent.clear()
+        for part in gathered(batches):
+            ids, bounds = enc.streams(as_bytes(part.column(1)))
+            data = ids.tobytes()
+            owners, seqs, ns, digests, payloads = [], [], [], [], []
+            for d, own in enumerate(cuts(ids, bounds)):
+                last = int(bounds[d])
+                for seq, at in enumerate(own):
+                    payload = data[last * enc.width : at * enc.width]
+                    owners.append(d)
+                    seqs.append(seq)
+                    ns.append(at - last)
+                    digests.append(digest := address(payload))
+                    payloads.append(None if digest in sent else payload)
+                    sent.add(digest)
+                    last = at
+            owners = np.array(owners, np.int64)
+            columns = [part.column(0).take(pa.array(owners)), pa.array(owners + row), pa.array(seqs, pa.int32()), pa.array(ns, pa.int32()), pa.array(digests, pa.binary()), pa.array(payloads, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "seq", "n", "digest", "payload"])
+            row += part.num_rows
+            if len(sent) > MAX_SENT:
+                sent.clear()
 
     ship(docs.sparkSession)
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, row long, seq int, n int, digest binary, payload binary")
 
 
+def gathered(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to about most bytes: the more texts at once, the fewer distinct words."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _first_payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by digest, those with payload first: the first of each digest keeps it."""
     last = None

@@ -85,3 +85,29 @@ def test_memory_limits_change_nothing(library, monkeypatch):
     texts = ["The quick, brown fox. isn't here", "a b c d e f g h i j", "The quick, THE Quick."]
     got = [np.frombuffer(x, e.kind).tolist() for _ in range(2) for t in texts for x in e.encode([t.encode()])]
     assert got == [library.encode(t, add_special_tokens=False).ids for _ in range(2) for t in texts]
+
+
+def test_words_as_the_library_has_them(library):
+    """Letters of several scripts, marks, digits, punctuation, blanks and special strings in any order."""
+    import random
+
+    rng = random.Random(5)
+    letters = "aAbBzZéÉßİıſKΣςσ ＡａⅠ1２.,'!-<|>́̀ \t\n\x0b  \x85_日本*$#&%'stmdrvel"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) + rng.choice(["", "<|endoftext|>", "it's", "'S don'T", " words. foo.,!"]) for _ in range(3000)]
+    e = ts.Encoder(ts.default_tokenizer())
+    assert e.by_words
+    for k in range(0, len(texts), 97):
+        part = texts[k : k + 97]
+        got = [np.frombuffer(x, e.kind).tolist() for x in e.encode([t.encode() for t in part])]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in part]
+
+
+def test_other_tokenizers_get_whole_texts(frame, odd_rows, spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert not ts.Encoder(path).by_words
+    want = [r[:4] for r in expected(odd_rows, Tokenizer.from_file(path))]
+    folder = ts.write(frame(odd_rows), f"file://{tmp_path}/store", path)
+    assert sorted(map(tuple, ts.summary(spark, folder).collect()), key=lambda r: r[1]) == want
