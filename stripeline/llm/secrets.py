@@ -4,11 +4,15 @@ Patterns (leftmost, not overlapping, per kind; matches that are too short are dr
 to password-like names, access key ids, long hex runs. Positions come from splitting a text at the matches:
 the lengths of what lies between and of the matches add up.
 
-Entropy: candidates are long runs of base64 or identifier characters with a digit. Each has a character class (hex,
-or base64), which gives the window length and the threshold. The window slides over the candidate; the counts of its
-characters, and the sum of c log2 c over them, are updated for the character that comes and the one that goes, and
-H = log2(w) - sum / w. A candidate whose highest windowed entropy reaches the threshold is a span of kind "entropy",
-unless an allow-list pattern matches it or it lies inside a pattern's span.
+Entropy: candidates are long runs of base64 or identifier characters with a digit, outside an assignment. Each has a
+character class (hex, or base64), which gives the window length and the threshold. The window slides over the
+candidate; the counts of its characters are fields of a few bits in an array of numbers, so that a step changes two
+fields, and the sum of c log2 c over them is updated for the character that comes and the one that goes. A candidate
+whose highest windowed entropy log2(w) - sum / w reaches the threshold is a span of kind "entropy", unless an allow-list
+pattern matches it or a pattern's span covers it.
+
+Work is linear in a text: positions are running sums in blocks, long candidates are cut into overlapping pieces, and no
+pattern repeats a group, which Java's matcher would do by recursion.
 
 Spans are code points, end exclusive. Defined cases: null and empty texts have no spans; null ids and repeated rows
 stay; an empty table gives an empty result. The work of a text is in its own row: long texts need no shuffle.
@@ -16,6 +20,10 @@ stay; an empty table gives an empty result. The work of a text is in its own row
 
 from __future__ import annotations
 
+import math
+import string
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,63 +33,110 @@ HEX = r"[0-9a-f]+"
 #: Maximal runs of one class, so a longer minimum finds the same runs as filtering them afterwards.
 ACCESS_LONG, HEX_LONG = r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex")
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-#: By class: pattern of the whole candidate, window, least entropy in bits.
-CLASSES = {"hex": (r"^[0-9a-fA-F-]+$", 20, 2.9), "base64": (r".", 20, 3.7)}
-#: Candidates that are no secrets: UUIDs, joined words with or without a number, numbers and dates, placeholders.
+RUN = r"[A-Za-z0-9+/_=-]{20,}"
+#: Assignments come first, so that what they cover is no candidate.
+ASSIGNED = "(?i:" + ASSIGN.removeprefix("(?i)") + ")"
+CANDIDATE = ASSIGNED + "|" + RUN
+#: By class: pattern of the whole candidate, its characters, window, least entropy in bits.
+CLASSES = {
+    "hex": (r"^[0-9a-fA-F-]+$", string.digits + "abcdefABCDEF-", 20, 2.9),
+    "base64": (r".", string.ascii_letters + string.digits + "+/_=-", 20, 3.7),
+}
+#: Candidates that are no secrets: UUIDs, joined words with or without a number, numbers and dates, placeholders (in
+#: a very long candidate their letters may stand by chance).
 ALLOW = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-    r"^[/_=+-]*[A-Za-z]+(?:[/_=+-]+[A-Za-z]+)*[0-9]{0,4}[/_=+-]*$",
+    r"^[A-Za-z/_=+-]*[A-Za-z][0-9]{0,4}[/_=+-]*$",
     r"^[0-9/_=+-]+$",
-    r"(?i)example|placeholder|xxxx|0123456789|abcdefgh",
+    r"(?i)^(?=.{20,200}$).*?(?:example|placeholder|xxxx|0123456789|abcdefgh)",
 )
+#: Candidates that are spans of a pattern as they stand.
+COVERED = r"^(?:AKIA[A-Z0-9]{16,}|[0-9a-f]{24,})$"
+#: Running sums are made in blocks of so many; a long candidate is looked at in pieces of so many characters.
+BLOCK, PIECE = 256, 4096
+
+
+def bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x), with x computed once however often f uses it."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def running(sizes: Column) -> Column:
+    """The sums of an array of longs up to each item, in blocks: each block's own sums, then what lies before it."""
+    none = F.array().cast("array<long>")
+    inside = lambda block: F.aggregate(block, none, lambda own, n: F.concat(own, F.array(F.coalesce(F.try_element_at(own, F.lit(-1)), F.lit(0).cast("long")) + n)))
+    cut = lambda xs: F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / BLOCK).cast("int")), lambda b: inside(F.slice(xs, b * BLOCK + 1, F.lit(BLOCK))))
+
+    def joined_up(blocks: Column) -> Column:
+        def after(totals: Column) -> Column:
+            before = lambda k: F.aggregate(F.slice(totals, F.lit(1), k), F.lit(0).cast("long"), lambda sum_, n: sum_ + n)
+            return F.flatten(F.transform(blocks, lambda own, k: bound(before(k), lambda more: F.transform(own, lambda v: v + more))))
+
+        return bound(F.transform(blocks, lambda own: F.element_at(own, -1)), after)
+
+    return bound(sizes, lambda xs: F.when(F.size(xs) > 0, bound(cut(xs), joined_up)).otherwise(none))
 
 
 def matches(text: Column, pattern: str) -> Column:
     """array of (start, end, found), of every match."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    none = F.filter(F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"), F.lit("").alias("found"))), lambda s: F.lit(False))
-
-    def add(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.length(x["found"])
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(F.struct(start.alias("start"), end.alias("end"), x["found"].alias("found")))).alias("spans"))
+    def placed(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        ends = running(F.zip_with(gaps, found, lambda gap, x: (F.length(gap) + F.length(x)).cast("long")))
+        return F.zip_with(ends, found, lambda end, x: F.struct((end - F.length(x)).alias("start"), end.alias("end"), x.alias("found")))
 
-    pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda g, f: F.struct(g.alias("gap"), f.alias("found")))
-    return F.aggregate(pairs, F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans")), add)["spans"]
+    return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 def some(text: Column, pattern: str, may: Column) -> Column:
     """matches(), only where may holds: most texts have none, and one search tells."""
-    return F.when(may, matches(text, pattern)).otherwise(F.filter(matches(F.lit(""), pattern), lambda s: F.lit(False)))
+    return F.when(may, matches(text, pattern)).otherwise(F.array().cast("array<struct<start:long,end:long,found:string>>"))
+
+
+ASCII = "".join(map(chr, range(128)))
+
+
+def windowed_entropy(text: Column, window: int, characters: str = ASCII) -> Column:
+    """The highest entropy, in bits, of a window of so many characters (or of a shorter whole text), by incremental counts.
+    Characters beyond the given ones count as one. Long texts are cut into pieces that overlap by a window less one."""
+    bits = window.bit_length()
+    each = 63 // bits
+    fields = {c: k // each * 64 + k % each * bits for k, c in enumerate(characters)}  # number in the array, and shift, of a character's count
+    rest = len(characters) // each * 64 + len(characters) % each * bits
+    places = F.array(*(F.lit(fields.get(chr(c), rest)) for c in range(128)))
+    f = lambda c: c * math.log2(c) if c > 1 else 0.0
+    up, down = (F.array(*(F.lit(f(c + d) - f(c)) for c in range(window + 2))) for d in (1, -1))
+    count = lambda counts, field: F.call_function("shiftright", F.get(counts, F.shiftright(field, 6)), field.bitwiseAND(63)).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+    one = lambda field, k: F.when(F.shiftright(field, 6) == k, F.call_function("shiftleft", F.lit(1).cast("long"), field.bitwiseAND(63))).otherwise(F.lit(0).cast("long"))
+
+    def least(codes: Column) -> Column:
+        """The least sum of c log2 c over the windows."""
+        full = F.least(F.lit(window), F.size(codes))
 
+        def slide(state: Column, come: Column) -> Column:
+            def moved(go: Column) -> Column:
+                counts, same = state["counts"], F.coalesce(come == go, F.lit(False))
+                gone = F.when(go.isNotNull(), F.get(down, count(counts, go))).otherwise(0.0)
+                total = state["total"] + F.when(same, 0.0).otherwise(F.get(up, count(counts, come)) + gone)
+                after = F.when(same, counts).otherwise(F.transform(counts, lambda v, k: v + one(come, k) - F.when(go.isNull(), F.lit(0).cast("long")).otherwise(one(go, k))))
+                return F.struct(after.alias("counts"), total.alias("total"), (state["at"] + 1).alias("at"), F.when(state["at"] + 1 >= full, F.least(state["least"], total)).otherwise(state["least"]).alias("least"))
 
-def windowed_entropy(text: Column, window: int) -> Column:
-    """The highest entropy, in bits, of a window of so many characters (or of a shorter whole text), by incremental counts."""
-    codes = F.transform(F.split(text, ""), F.ascii)
-    f = lambda c: F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(0.0)
-    none = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
+            return bound(F.when(state["at"] >= window, F.get(codes, state["at"] - window)), moved)
 
-    def slide(state: Column, x: Column) -> Column:
-        come, go = x["come"], x["go"]
-        c, g = F.get(state["counts"], come), F.coalesce(F.get(state["counts"], go), F.lit(0))
-        moved = F.when(come == go, 0.0).otherwise(f(c + 1) - f(c) + F.when(go >= 0, f(g - 1) - f(g)).otherwise(0.0))
-        counts = F.when(come == go, state["counts"]).otherwise(F.transform(state["counts"], lambda v, k: v + F.when(k == come, 1).otherwise(0) - F.when(k == go, 1).otherwise(0)))
-        total = state["sum"] + moved
-        best = F.when(x["n"] >= F.least(F.lit(window), x["of"]), F.greatest(state["best"], F.log2(F.least(F.lit(window), x["n"]).cast("double")) - total / F.least(F.lit(window), x["n"]))).otherwise(state["best"])
-        return F.struct(counts.alias("counts"), total.alias("sum"), best.alias("best"))
+        none = F.struct(F.array_repeat(F.lit(0).cast("long"), rest // 64 + 1).alias("counts"), F.lit(0.0).alias("total"), F.lit(0).alias("at"), F.lit(math.inf).alias("least"))
+        return F.when(F.size(codes) > 0, F.log2(full.cast("double")) - F.aggregate(codes, none, slide)["least"] / full).otherwise(0.0)
 
-    steps = F.transform(codes, lambda c, k: F.struct(c.alias("come"), F.when(k >= window, F.get(codes, k - window)).otherwise(-1).alias("go"), (k + 1).alias("n"), F.length(text).alias("of")))
-    return F.aggregate(steps, none, slide)["best"]
+    codes = lambda piece: F.transform(F.split(piece, ""), lambda c: F.coalesce(F.get(places, F.ascii(c)), F.lit(rest)))
+    overlapped = lambda pieces: F.transform(pieces, lambda piece, k: F.concat(F.coalesce(F.right(F.get(pieces, k - 1), F.lit(window - 1)), F.lit("")), piece))
+    pieces = bound(F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % max(PIECE, window)), F.lit(0)), overlapped)
+    return F.coalesce(F.array_max(F.transform(pieces, lambda piece: bound(codes(piece), least))), F.lit(0.0))
 
 
 def odd(found: Column) -> Column:
     """Whether a candidate is random enough for its class."""
     verdict = F.lit(False)
-    for pattern, window, least in reversed(CLASSES.values()):
-        verdict = F.when(found.rlike(pattern), windowed_entropy(found, window) >= least).otherwise(verdict)
-    for pattern in ALLOW:
+    for pattern, characters, window, least in reversed(CLASSES.values()):
+        verdict = F.when(found.rlike(pattern), windowed_entropy(found, window, characters) >= least).otherwise(verdict)
+    for pattern in (*ALLOW, COVERED, "^" + ASSIGNED):
         verdict = F.when(found.rlike(pattern), F.lit(False)).otherwise(verdict)
     return F.when(found.rlike("[0-9]"), verdict).otherwise(False)
 
@@ -98,8 +153,7 @@ def spans(docs: DataFrame) -> DataFrame:
         some(text, HEX_LONG, text.rlike(HEX_LONG)).alias("hex"),
         some(text, CANDIDATE, text.rlike(r"(?=[A-Za-z+/_=-]{0,19}[0-9])[A-Za-z0-9+/_=-]{20}")).alias("candidates"),
     )
-    covered = lambda c: F.exists(F.concat("assign", "access", "hex"), lambda s: (s["start"] <= c["start"]) & (c["end"] <= s["end"]))
-    return rows.select("doc_id", "assign", "access", "hex", F.filter("candidates", lambda c: ~covered(c) & odd(c["found"])).alias("entropy"))
+    return rows.select("doc_id", "assign", "access", "hex", F.filter("candidates", lambda c: odd(c["found"])).alias("entropy"))
 
 
 def joined(found: DataFrame, kinds: tuple[str, ...]) -> Column:

@@ -78,3 +78,32 @@ def test_odd_rows(frame, odd_rows):
 def test_whole_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     check(docs, [(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_very_long_texts(frame):
+    """Long runs, very many matches, and what makes a backtracking matcher recurse: linear work, the naive result."""
+    rng = random.Random(8)
+    run = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1 << 20))
+    rows = [
+        (1, "a-" * 10**6 + "1"), (2, run), (3, " ".join(["deadbeef" * 3] * 10**5)), (4, "token" + " " * 10**6), (5, "AKIA" * 250_000), (6, " ".join(["password=abcdef1"] * 10**5)),
+        (7, "_" * 10**6 + "1x"), (8, "1" * 10**6), (9, " ".join(["9fK2mQ7xW4bZ8tR1vN6cY3pL0sD5hG"] * 10**4)),
+    ]
+    got = check(frame(rows), rows)
+    odd = {i: [s for s in r.spans.split(",") if s.startswith("entropy")] for i, r in got.items()}
+    assert odd[2] == [f"entropy:0:{1 << 20}"] and odd[9] == [f"entropy:{31 * k}:{31 * k + 30}" for k in range(10**4)]
+    assert not any(odd[k] for k in (1, 3, 4, 5, 6, 7, 8))
+
+
+def test_entropy_of_pieces_and_classes(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdef01-") for _ in range(n)) for n in (se.PIECE - 1, se.PIECE, se.PIECE + 1, 2 * se.PIECE + 20)] + ["a" * se.PIECE + "0123456789abcdef-ABC" + "a" * 90]
+    for _, characters, window, _ in se.CLASSES.values():
+        for t, got in spark.createDataFrame([(t,) for t in texts], "t string").select("t", se.windowed_entropy(F.col("t"), window, characters)).collect():
+            assert abs(got - highest(t, window)) < 1e-9
+
+
+def test_running_sums(spark):
+    rng = random.Random(2)
+    rows = [[rng.randint(0, 9) for _ in range(n)] for n in (0, 1, 2, 255, 256, 257, 1000)]
+    for xs, got in spark.createDataFrame([(r,) for r in rows], "x array<long>").select("x", se.running(F.col("x"))).collect():
+        assert got == [sum(xs[: k + 1]) for k in range(len(xs))]
