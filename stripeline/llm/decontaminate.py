@@ -2,12 +2,13 @@
 
 Patterns are the benchmark windows (10 consecutive words; a shorter item is one window). Words become numbers;
 the search looks at blocks of two words. A shift table says how far the window can move when a block isn't the
-end of any pattern; where the shift is 0, a hash of the pattern's last block selects the patterns to test, a hash of
-the first block narrows them, and direct comparison of all words confirms each occurrence. A word outside the
-benchmark moves the window past itself. Shorter windows are searched in the same way, one pass a length.
+end of any pattern; where the shift is 0, a hash of the pattern's last block selects the patterns to test, and direct
+comparison of all words confirms each occurrence (in a bucket of many patterns a hash of all their words goes before).
+A word outside the benchmark moves the window past itself. Shorter windows are searched in the same way, one pass a length.
 
-The index holds the benchmark, a stated query set; it is broadcast in blocks of at most ``BLOCK_WORDS`` words,
-and the hits of several blocks are merged.
+The benchmark is a stated query set. It is taken in blocks of at most ``BLOCK_WORDS`` words, of which one at a time is indexed
+and broadcast: a benchmark of one block takes one pass over the documents without a shuffle. For a larger one, the documents
+are written once with a row number, each block takes a pass that writes the hits it finds, and these are joined by row.
 
 Defined cases: null, empty and blank texts have no words and no hits; items without words match nothing; rows with a
 null item id count as an item named "" ; repeated items with one id count once; null document ids are kept;
@@ -18,17 +19,21 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from functools import reduce
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, map_rows
+from .common import as_bytes, map_rows, stage
 
 WINDOW = 10
-#: Words of benchmark items that one broadcast holds (about 100 bytes each).
-BLOCK_WORDS = 1_000_000
+#: Words of benchmark items that one broadcast holds (about 400 bytes each).
+BLOCK_WORDS = 250_000
+#: Patterns of one last block that are compared one by one; more are looked up.
+FEW = 16
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -50,7 +55,10 @@ class WuManber:
             for end in range(block, m + 1):
                 key = p[end - block : end]
                 self.shift[key] = min(self.shift.get(key, self.far), m - end)
-            self.buckets[p[m - block :]].append((p[:block], p, owners))
+            self.buckets[p[m - block :]].append((p, owners))
+        for key, own in self.buckets.items():
+            if len(own) > FEW:
+                self.buckets[key] = dict(own)
 
     def search(self, ids: list[int], found) -> None:
         """Calls found(start, owners) for every occurrence."""
@@ -66,10 +74,13 @@ class WuManber:
                 i += step
                 continue
             start = i - m + 1
-            head = tuple(ids[start : start + block])
-            for prefix, p, owners in buckets[key]:
-                if prefix == head and tuple(ids[start : i + 1]) == p:
-                    found(start, owners)
+            own, bucket = tuple(ids[start : i + 1]), buckets[key]
+            if type(bucket) is dict:
+                owners = bucket.get(own)
+            else:
+                owners = next((owners for p, owners in bucket if p == own), None)
+            if owners is not None:
+                found(start, owners)
             i += 1
 
 
@@ -111,44 +122,70 @@ def merged(ranges) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def blocks_of(items: DataFrame, key: str, text: str, most: int = BLOCK_WORDS):
-    """Yields the items in blocks of at most most words (one item at least), streamed through the driver one partition at a time."""
+def blocks_of(items: DataFrame, key: str, text: str, most: int = BLOCK_WORDS, window: int = WINDOW):
+    """Yields the items in blocks of at most most words, streamed through the driver one partition at a time. A longer item comes in
+    pieces of one name that overlap by a window less one word, so no window is lost."""
     block, size = [], 0
     rows = items.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
     for r in rows.toLocalIterator():
-        n = len(r["t"]) // 2 + 1
-        if block and size + n > most:
-            yield block
-            block, size = [], 0
-        block.append((r["k"], r["t"].encode()))
-        size += n
+        words = words_of(r["t"].encode())
+        for at in range(0, max(1, len(words) - window + 1), most):
+            part = words[at : at + most + window - 1]
+            if block and size + len(part) > most:
+                yield block
+                block, size = [], 0
+            block.append((r["k"], b" ".join(part)))
+            size += len(part)
     yield block
 
 
-def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = BLOCK_WORDS) -> DataFrame:
-    """_row (the columns of docs), n_words, hits (array of start, end word ranges, merged) and items (names, sorted) of every row."""
-    spark = docs.sparkSession
-    shared = [spark.sparkContext.broadcast(Index(b, window)) for b in blocks_of(items, "item_id", "text", most)]
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").cast("string").alias("text"))
+HITS = T.ArrayType(T.StructType().add("start", "long").add("end", "long"))
+
+
+def _searched(rows: DataFrame, block: list[tuple[str, bytes]], window: int, hit_only: bool) -> DataFrame:
+    """The first column of rows, n_words, hits and items of each row (of those with hits), by the text in its second column."""
+    shared = rows.sparkSession.sparkContext.broadcast(Index(block, window))  # BLOCK_WORDS words at most
+    name = rows.columns[0]
 
     def make():
+        index = shared.value
+        spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            counts, hits, names = [], [], []
-            for text in as_bytes(batch.column(1)):
-                found = [x.value.scan(text) for x in shared]
-                counts.append(found[0][0])
-                hits.append([{"start": a, "end": b} for a, b in merged(r for _, rs, _ in found for r in rs)])
-                names.append(sorted({x for *_, xs in found for x in xs}))
-            more = [pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(names, pa.list_(pa.string()))]
-            return pa.RecordBatch.from_arrays([batch.column(0), *more], ["_row", "n_words", "hits", "items"])
+            found = [index.scan(text) for text in as_bytes(batch.column(1))]
+            hits = pa.array([[{"start": a, "end": b} for a, b in hits] for _, hits, _ in found], spans)
+            columns = [batch.column(0), pa.array([n for n, *_ in found], pa.int64()), hits, pa.array([names for *_, names in found], pa.list_(pa.string()))]
+            out = pa.RecordBatch.from_arrays(columns, [name, "n_words", "hits", "items"])
+            return out.filter(pa.array([bool(hits) for _, hits, _ in found], pa.bool_())) if hit_only else out
 
         return run
 
-    own = rows.schema["_row"].dataType
-    schema = T.StructType().add("_row", own).add("n_words", "long").add("hits", T.ArrayType(T.StructType().add("start", "long").add("end", "long"))).add("items", T.ArrayType(T.StringType()))
+    schema = T.StructType().add(rows.schema[0]).add("n_words", "long").add("hits", HITS).add("items", T.ArrayType(T.StringType()))
     return map_rows(rows, make, schema)
 
 
+def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = BLOCK_WORDS) -> DataFrame:
+    """_row (the columns of docs), n_words, hits (array of start, end word ranges, merged) and items (names, sorted) of every row."""
+    blocks = blocks_of(items, "item_id", "text", most, window)
+    first, second = next(blocks), next(blocks, None)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").cast("string").alias("text"))
+    if second is None:
+        return _searched(rows, first, window, False)
+    rows = stage(rows.withColumn("_n", F.monotonically_increasing_id()), "decontaminate-rows")
+    counted = _searched(rows.select("_n", "text"), [], window, False).select("_n", "n_words")
+    parts = [stage(_searched(rows.select("_n", "text"), block, window, True), "decontaminate-hits") for block in chain((first, second), blocks)]
+    joined = reduce(DataFrame.union, parts).groupBy("_n").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    every = rows.select("_n", "_row").join(counted, "_n").join(joined, "_n", "left")
+
+    def tidy(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hits = [[{"start": a, "end": b} for a, b in merged((h["start"], h["end"]) for h in own or ())] for own in batch.column(2).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hits, batch.column(2).type), batch.column(3)], ["_row", "n_words", "hits", "items"])
+
+    empty = F.coalesce("items", F.array().cast("array<string>")).alias("items")
+    schema = T.StructType().add(rows.schema["_row"]).add("n_words", "long").add("hits", HITS).add("items", T.ArrayType(T.StringType()))
+    return map_rows(every.select("_row", "n_words", "hits", empty), lambda: tidy, schema)
+
+
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the hits themselves, of every row."""
     found = occurrences(docs.select("doc_id", "text"), items, window)

@@ -74,3 +74,25 @@ def test_shift_table_skips():
     seen = []
     m.search([1, 2, 3, 4, 5, 6, 0, 1, 2, 3, 4, 5, 6], lambda s, o: seen.append(s))
     assert seen == [0, 7]
+
+
+def test_many_blocks_and_long_items(spark, frame):
+    """A block for every few words, items longer than a block, hits of several blocks in one row."""
+    rng = random.Random(4)
+    text = lambda n: " ".join(rng.choice("abcd") for _ in range(n))
+    rows = [(k, text(rng.randint(0, 80))) for k in range(50)] + [(50, None), (None, text(40)), (7, text(30)), (7, text(30))]
+    items = [(k, text(rng.randint(0, 45))) for k in range(7)]
+    assert len(list(dc.blocks_of(items_of(spark, items), "item_id", "text", 5))) > 10
+    found = dc.occurrences(frame(rows), items_of(spark, items), most=5).collect()
+    one = dc.occurrences(frame(rows), items_of(spark, items)).collect()
+    key = lambda r: repr((r["_row"], r["n_words"], r["hits"], r["items"]))
+    assert sorted(map(key, found)) == sorted(map(key, one))
+
+
+def test_common_endings_are_looked_up():
+    patterns = {(k + 10, *range(1, 8), 8, 9): [k] for k in range(100)}
+    m = dc.WuManber(patterns)
+    assert type(m.buckets[(8, 9)]) is dict
+    seen = []
+    m.search([0, 15, *range(1, 10), 109, *range(1, 10), 110, *range(1, 10)], lambda s, o: seen.append((s, o)))
+    assert seen == [(1, [5]), (11, [99])]
