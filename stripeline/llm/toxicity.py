@@ -3,10 +3,13 @@
 Folding lower-cases, maps homoglyphs (full-width forms, Cyrillic and Greek look-alikes) and digit or symbol
 substitutions to letters, and turns everything else into blanks. As ``1``, ``!`` and ``|`` stand for ``i`` as
 well as ``l``, these letters fold to one. Lexicon entries are word stems, which match at the start of a word, or whole
-words, which end with a blank and match nothing longer.
+words, which end with a blank and match nothing longer. Exception phrases are whole words on both sides; an entry
+that begins inside one is no hit. Besides a few fixed ones they are learned: two words of which one is a hit,
+found in ``MIN_CLEAN`` clean labelled rows or more and in no toxic one.
 
-The lexicon, its weights and the calibration are learned from at most ``MAX_LABELLED`` labelled rows
-(those with the smallest hash of their id), never from held-out rows. Scoring covers every whole text.
+The lexicon, its weights, the exceptions and the calibration are learned from at most ``MAX_LABELLED`` labelled rows
+(those with the smallest hash of their id; of rows with one id the one with the least text), never from held-out
+rows. Scoring covers every whole text, in time linear in it.
 
 Defined cases: a null or empty text has no hit and gets the score of length 0; null ids are scored like any
 other and are not held out (crc32 of null counts as remainder -1); repeated rows give repeated results; an
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -25,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, stage
 
 #: At most so many labelled rows fit the lexicon and the calibration.
 MAX_LABELLED = 6000
@@ -35,6 +39,8 @@ THRESHOLD = 0.3
 #: Lengths of stems; whole words of the least length or more are candidates too.
 STEMS = tuple(range(4, 13))
 MIN_G2 = 15.0
+#: Learned exceptions: clean rows that one needs, and how many at most, those in most clean rows first.
+MIN_CLEAN, MAX_EXCEPTIONS = 3, 1000
 
 #: Characters that stand for a letter.
 SUBSTITUTES = {
@@ -89,13 +95,17 @@ class Lexicon:
             for term, w in self.weights.items():
                 a.add_word(" " + term, (len(term), w))
             for phrase in self.exceptions:
-                if fold(phrase).strip():
-                    a.add_word(" " + fold(phrase), (len(phrase), None))
+                if own := fold(phrase).strip():
+                    a.add_word(f" {own} ", (len(own), None))
             if len(a):
                 a.make_automaton()
             self._found = a
         return self._found
 
+    def forget(self) -> None:
+        """To be called when weights or exceptions were changed."""
+        self._found = None
+
     def __getstate__(self):
         return self.__dict__ | {"_found": None}
 
@@ -106,18 +116,42 @@ class Lexicon:
         a = self.automaton()
         if not len(a) or not words:
             return 0.0, 0, words
-        best: dict[int, tuple[int, float]] = {}
-        spared: list[tuple[int, int]] = []
-        for end, (n, w) in a.iter(flat):
-            start = end - n + 1
-            if w is None:
-                spared.append((start, end))
-            elif n > best.get(start, (0, 0.0))[0]:
-                best[start] = (n, w)
-        if spared:
-            best = {s: x for s, x in best.items() if not any(b <= s <= e for b, e in spared)}
+        best = self.found(flat)
         return sum(w for _, w in best.values()), len(best), words
 
+    def found(self, flat: str) -> dict[int, tuple[int, float]]:
+        """By place of a word's beginning in the folded text: length and weight of the longest entry there, exceptions left out."""
+        best: dict[int, tuple[int, float]] = {}
+        begins: list[int] = []
+        ends: list[int] = []
+        for end, (n, w) in self.automaton().iter(flat):  # by end: phrases that overlap are joined
+            if w is not None:
+                start = end - n + 1
+                if n > best.get(start, (0, 0.0))[0]:
+                    best[start] = (n, w)
+                continue
+            start = end - n
+            while begins and start <= ends[-1]:
+                start = min(start, begins.pop())
+                ends.pop()
+            begins.append(start)
+            ends.append(end)
+        if begins:
+            spared = lambda s: (k := bisect_right(begins, s)) and s < ends[k - 1]
+            best = {s: x for s, x in best.items() if not spared(s)}
+        return best
+
+    def phrases(self, text: str) -> set[str]:
+        """Two words, with one blank between, of which one is a hit."""
+        flat, out = " " + fold(text) + " ", set()
+        for start in self.found(flat) if len(self.automaton()) else ():
+            end = flat.index(" ", start)
+            for a, b in ((flat.rfind(" ", 0, start - 1) + 1, end), (start, flat.find(" ", end + 1))):
+                own = flat[a:b] if a < b else ""
+                if own.count(" ") == 1 and own[0] != " " != own[-1]:
+                    out.add(own)
+        return out
+
     def score(self, total: float, words: int) -> float:
         a, b, c = self.calibration
         x = a + b * math.log1p(total) + c * math.log1p(100.0 * total / max(words, 1))
@@ -136,13 +170,14 @@ def labelled(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> D
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # bound rows of two numbers
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id")  # bound rows of two numbers
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))  # however often an id is there
 
 
 def learn(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> Lexicon:
     """Terms (word stems of 4 to 12 letters, and whole words) that G-squared ties to the label, weighted by log odds; then the calibration."""
     spark = docs.sparkSession
-    rows = labelled(docs, labels, bound)
+    rows = stage(labelled(docs, labels, bound), "toxicity-sample")
     words = map_rows(rows.select("text", "toxic"), _stems, "toxic int, terms array<string>").cache()
     try:
         n = {r["toxic"]: r["n"] for r in words.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -161,12 +196,33 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> Lexi
     finally:
         words.unpersist()
     lexicon = Lexicon(reduced({r["term"]: (r["t"], r["w"]) for r in top}))
+    lexicon.exceptions += exceptions(rows, lexicon)
+    lexicon.forget()
     shared = spark.sparkContext.broadcast(lexicon)  # MAX_TERMS entries at most
     points = map_rows(rows.select("text", "toxic"), lambda: lambda b: _points(b, shared.value), "toxic int, total double, words long").collect()
     lexicon.calibration = calibrated([(r["total"], r["words"], r["toxic"]) for r in points])
     return lexicon
 
 
+def exceptions(rows: DataFrame, lexicon: Lexicon) -> tuple[str, ...]:
+    """Phrases around hits that clean rows have and toxic ones don't."""
+    shared = rows.sparkSession.sparkContext.broadcast(lexicon)  # MAX_TERMS entries at most
+
+    def make():
+        lex = shared.value
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = [sorted(lex.phrases(t or "")) for t in batch.column(0).to_pylist()]
+            return pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.string()))], ["toxic", "phrases"])
+
+        return run
+
+    found = map_rows(rows.select("text", "toxic"), make, "toxic int, phrases array<string>")
+    seen = found.select("toxic", F.explode("phrases").alias("phrase")).groupBy("phrase").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+    top = seen.where((F.col("t") == 0) & (F.col("c") >= MIN_CLEAN)).orderBy(F.desc("c"), "phrase").limit(MAX_EXCEPTIONS).collect()
+    return tuple(r["phrase"] for r in top)
+
+
 def reduced(terms: dict[str, tuple[int, float]]) -> dict[str, float]:
     """Without stems that a longer one matches as often, and without longer ones or words whose stem is kept."""
     kept, sizes = dict(terms), sorted({len(t) for t in terms})

@@ -97,3 +97,62 @@ def test_held_out_recall_by_language(spark, sf):
         found = [r.predicted for r in got if r.toxic and r.lang == lang]
         print(lang, sum(found), "of", len(found), "toxic found;", sum(r.predicted for r in got if not r.toxic and r.lang == lang), "of", sum(not r.toxic and r.lang == lang for r in got), "clean rejected")
         assert found and sum(found) >= 0.9 * len(found), lang
+
+
+def plain_hits(lexicon, text):
+    """Every word against every entry, and every place against every phrase."""
+    flat = " " + tx.fold(text) + " "
+    spared = [(k, k + len(own)) for p in lexicon.exceptions if (own := tx.fold(p).strip()) for k in range(len(flat)) if flat.startswith(f" {own} ", k - 1) and k]
+    total, n = 0.0, 0
+    for k in range(1, len(flat)):
+        if flat[k - 1] == " " and not any(a <= k < b for a, b in spared):
+            entries = [t for t in lexicon.weights if flat.startswith(t, k)]
+            if entries:
+                total, n = total + lexicon.weights[max(entries, key=len)], n + 1
+    return total, n, len(flat.split())
+
+
+def test_matching_is_that_of_brute_force():
+    rng = random.Random(11)
+    bits = ["idiot", "1diot", "idi", "trash", "can", "bag", "trash can", "cannot", "a", " ", ", ", "\n", "é", "ıd", "СІown", "clown", "fish", "fisherman", "s", "!", "\u200b", "ｔrash"]
+    for _ in range(60):
+        weights = {tx.fold(w) + rng.choice(["", "", " "]): rng.uniform(0.5, 4) for w in rng.sample(["idiot", "idi", "trash", "clown", "tra", "can", "fish"], 4)}
+        lexicon = tx.Lexicon(weights, exceptions=tuple(rng.sample(["trash can", "clown fish", "can a trash", "fish", "trash bag", "a can"], 3)))
+        for _ in range(60):
+            text = "".join(rng.choice(bits) + rng.choice(["", " ", " "]) for _ in range(rng.randint(0, 12)))
+            got, want = lexicon.hits(text), plain_hits(lexicon, text)
+            assert got[1:] == want[1:] and abs(got[0] - want[0]) < 1e-9, (text, weights, lexicon.exceptions)
+
+
+def test_exceptions_have_boundaries():
+    lexicon = tx.Lexicon({tx.fold("trash"): 2.0, tx.fold("clown"): 2.0})
+    assert lexicon.hits("trash cannot")[1] == 1 and lexicon.hits("clown fisherman")[1] == 1 and lexicon.hits("you are trash, can you")[1] == 1
+    assert lexicon.hits("a trash can and clown fish")[1] == 0 and lexicon.hits("trash can trash")[1] == 1
+
+
+def test_exceptions_are_learned(frame, labels):
+    """A word that is an insult but for one phrase."""
+    rows, marks = [], []
+    for k in range(600):
+        bad, mild = k % 6 == 0, k % 60 == 1
+        rows.append((k, f"some plain words {'you grumpface' if bad else 'the grumpface statue' if mild else ''} and number {k}"))
+        marks.append((k, 1, int(bad)))
+    lexicon = tx.learn(frame(rows), labels(marks))
+    assert "grumpface statue" in lexicon.exceptions
+    assert lexicon.hits("see the grumpface statue")[1] == 0 and lexicon.hits("you grumpface")[1] == 1
+    assert all(r.predicted == int(r.doc_id % 6 == 0) for r in tx.score(frame(rows), lexicon).collect())
+
+
+def test_long_texts_are_linear():
+    import time
+
+    lexicon = tx.Lexicon({tx.fold("trash"): 2.0})
+    began = time.perf_counter()
+    assert lexicon.hits("trash can " * 200_000)[1] == 0 and lexicon.hits("trash trash can " * 100_000)[1] == 100_000
+    assert time.perf_counter() - began < 20
+
+
+def test_repeated_ids_give_one_labelled_row(frame, labels, spark):
+    rows = [(1, f"text {k}") for k in range(2000)] + [(3, "other")]
+    docs = frame(rows)
+    assert sorted(map(tuple, tx.labelled(docs, labels([(1, 1, 1), (3, 1, 0)])).select("doc_id", "text", "toxic").collect())) == [(1, "text 0", 1), (3, "other", 0)]
