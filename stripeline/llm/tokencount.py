@@ -11,11 +11,17 @@ deterministic and reads characters; a transition carries the change of the token
   are bounded by the longest token, so states are finitely many.
 
 States are made when first reached (lazy subset construction) and kept by each worker, ``MAX_STATES`` at most;
-then it starts anew, with the same results.
+then it starts anew, with the same results, also within a text.
 
-A text is cut into chunks. Wherever white space follows another character, every state moves to the same one, so a
-chunk's state map is short: the text up to the first such place, the count between the first and the last, and the
-text after. Maps compose associatively; the chunks of a text are composed by a tree-shaped prefix scan.
+A text is cut into chunks, and each chunk becomes a state map. There are places where every state moves to the same one:
+white space after another character, and a change between letters, numbers and other characters. So a chunk's map is
+its head (what comes before the first such place, as references to the text, not copies), the count from there to its
+end, and the state at its end; a chunk without such a place is all head. Maps compose associatively: the left one's
+last state reads the right one's head. A prefix scan composes the maps of a text by pairs, level by level, so each level
+is as parallel as it has pairs.
+
+Texts over ``LONG_TEXT`` bytes are cut into rows of their own, dealt over the tasks, and mapped there; their maps meet by
+document and are composed. Shorter ones are read in one task, in memory that doesn't grow with them beyond their own size.
 
 Defined cases: null and empty texts have 0 bytes and tokens; null ids and repeated rows stay as they are; an
 empty table gives an empty result; the special string inside a text is one token, as the library counts it.
@@ -24,6 +30,8 @@ empty table gives an empty result; the special string inside a text is one token
 from __future__ import annotations
 
 import json
+import pickle
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -31,9 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, partitions
 
 CHUNK = 1 << 14
+#: Texts of more bytes are cut into rows of PART characters.
+LONG_TEXT, PART = 1 << 20, 1 << 18
 MAX_STATES = 250_000
 MAX_PAIRS = 400_000
 #: Whole words that a worker keeps as single transitions from blank to blank.
@@ -258,48 +268,74 @@ class Transducer:
         row, change = self.run(row, last)
         return row, n + change
 
-    def trim(self) -> None:
+    def trim(self, row: dict | None = None) -> dict | None:
+        """Forgets the states and words if they are too many; the given row goes on as a new one."""
         if len(self.words) > MAX_WORDS:
             self.words.clear()
-        if len(self.rows) > MAX_STATES:
-            for row in self.rows.values():
-                row.clear()  # breaks the cycles between rows
-            self.rows.clear()
-            self.parts.clear()
-            self.start = self.row(("start", EMPTY, ""))
+        if len(self.rows) <= MAX_STATES:
+            return row
+        state = row and row[None]
+        for x in self.rows.values():
+            x.clear()  # breaks the cycles between rows
+        self.rows.clear()
+        self.parts.clear()
+        self.start = self.row(("start", EMPTY, ""))
+        return state and self.row(state)
+
+    def read(self, state: tuple, pieces) -> tuple[tuple, int]:
+        """The state after all pieces of text, and the change of the count."""
+        row, n = self.row(state), 0
+        for piece in pieces:
+            for k in range(0, len(piece), CHUNK):
+                row, more = self.run_words(row, piece[k : k + CHUNK])
+                n += more
+                row = self.trim(row)
+        return row[None], n
 
-    # State maps. None between: the chunk has no place where all states meet, and head is all of it.
+    def meets(self, before: str, ch: str) -> bool:
+        """Whether every state that has read the character before moves to the same one with ch."""
+        a, b = self.kind(before), self.kind(ch)
+        return a != b and a != "s" and (b == "s" or before != "'" and ch != "'")
 
-    def chunk_map(self, text: str) -> tuple[str, int | None, str]:
-        first = next((k for k in range(1, len(text)) if text[k] in WHITE and text[k - 1] not in WHITE), None)
+    # State maps: (head, count, state). count and state are None where no place in the chunk makes all states meet, and head is all of it.
+
+    def chunk_map(self, text: str) -> tuple[tuple[str, ...], int | None, tuple | None]:
+        first = next((k for k in range(1, len(text)) if self.meets(text[k - 1], text[k])), None)
         if first is None:
-            return text, None, ""
-        last = next(k for k in range(len(text) - 1, 0, -1) if text[k] in WHITE and text[k - 1] not in WHITE)
-        met = self.row(("s", EMPTY, text[first]))
-        return text[: first + 1], self.run_words(met, text[first + 1 : last + 1])[1], text[last:]
+            return (text,) if text else (), None, None
+        ch = text[first]
+        met = ("s", EMPTY, ch) if self.kind(ch) == "s" else (self.kind(ch), self.fed(EMPTY, ch.encode())[0], "")
+        state, n = self.read(met, (text[first + 1 :],))
+        return (text[: first + 1],), n, state
 
     def composed(self, a: tuple, b: tuple) -> tuple:
-        if a[1] is None and b[1] is None:
-            return a[0] + b[0], None, ""
-        if a[1] is None:
+        if a[2] is None:
             # The seam may itself be such a place; the head only grows.
             return a[0] + b[0], b[1], b[2]
-        met = self.row(("s", EMPTY, a[2][0]))
-        if b[1] is None:
-            return a[0], a[1], a[2] + b[0]
-        return a[0], a[1] + self.run(met, a[2][1:] + b[0])[1] + b[1], b[2]
+        state, n = self.read(a[2], b[0])
+        return (a[0], a[1] + n, state) if b[2] is None else (a[0], a[1] + n + b[1], b[2])
 
-    def scanned(self, maps: list[tuple]) -> list[tuple]:
-        """Inclusive prefix scan by pairs: level by level, half the maps each time."""
+    def scanned(self, maps: list[tuple], last_only: bool = False) -> list[tuple]:
+        """Inclusive prefix scan by pairs: level by level, half the maps each time. last_only: only the last prefix."""
         if len(maps) <= 1:
             return maps
         pairs = [self.composed(maps[k], maps[k + 1]) for k in range(0, len(maps) - 1, 2)]
+        if last_only:
+            return self.scanned(pairs + maps[len(pairs) * 2 :], True)
         even = self.scanned(pairs)
         out = [maps[0]]
         for k in range(1, len(maps)):
             out.append(even[k // 2] if k % 2 else self.composed(even[k // 2 - 1], maps[k]))
         return out
 
+    def total(self, maps: list[tuple]) -> int:
+        """The count of the text whose chunks have these maps, from its beginning to its end."""
+        if not maps:
+            return 0
+        head, n, state = self.scanned(maps, True)[-1]
+        own, more = self.read(("start", EMPTY, ""), head)
+        return more + (n or 0) + self.end(self.row(state if state is not None else own))
+
     def count(self, text: str, chunk: int = CHUNK) -> int:
         for special in self.merges.special:
             if special in text:
@@ -308,12 +344,7 @@ class Transducer:
         if len(text) <= chunk:
             row, n = self.run_words(self.start, text)
             return n + self.end(row)
-        head, between, tail = self.scanned([self.chunk_map(text[k : k + chunk]) for k in range(0, len(text), chunk)])[-1]
-        row, n = self.run(self.start, head)
-        if between is not None:
-            row, more = self.run(self.row(("s", EMPTY, tail[0])), tail[1:])
-            n += between + more
-        return n + self.end(row)
+        return self.total([self.chunk_map(text[k : k + chunk]) for k in range(0, len(text), chunk)])
 
 
 @lru_cache(2)
@@ -321,9 +352,8 @@ def transducer(path: str) -> Transducer:
     return Transducer(path)
 
 
-def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIMIT) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit of every row."""
-    path = tokenizer or default_tokenizer()
+def _short(texts: DataFrame, path: str, kind: str) -> DataFrame:
+    """doc_id, n_bytes, n_tokens of each row of texts."""
 
     def make():
         machine = transducer(path)
@@ -333,10 +363,69 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIM
             for text in batch.column(2).to_pylist():
                 n.append(machine.count(text or ""))
                 machine.trim()
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
         return run
 
+    return map_rows(texts, make, f"doc_id {kind}, n_bytes long, n_tokens long")
+
+
+def _long(texts: DataFrame, path: str, kind: str, part: int) -> DataFrame:
+    """The same by state maps of parts, which are dealt over the tasks. A special string is a part of its own, which a map counts as
+    one token between two texts: the parts before, between and after are texts of their own."""
+
+    def mapped():
+        machine = transducer(path)
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            maps = []
+            for text in batch.column("part").to_pylist():
+                if text in machine.merges.special:
+                    maps.append(None)
+                else:
+                    maps.append(pickle.dumps(machine.scanned([machine.chunk_map(text[k : k + CHUNK]) for k in range(0, len(text), CHUNK)], True)[-1]))
+                machine.trim()
+            columns = [batch.column(c) for c in ("doc_id", "n_bytes", "row", "seq")]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(maps, pa.binary())], ["doc_id", "n_bytes", "row", "seq", "map"])
+
+        return run
+
+    def composed():
+        machine = transducer(path)
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            n = []
+            for own in batch.column("maps").to_pylist():
+                total, text = 0, []
+                for x in [*(x["map"] for x in own), None]:
+                    if x is None:
+                        total += 1 + machine.total(text)
+                        text = []
+                    else:
+                        text.append(pickle.loads(x))
+                n.append(total - 1)
+                machine.trim()
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+
+        return run
+
+    special = "|".join(re.escape(x) for x in transducer(path).merges.special)
+    # Possessive: Java's matcher repeats such a group without recursion.
+    pattern = special + "|(?s:(?:(?!" + special + ").){1,%d}+)" % part if special else "(?s:.{1,%d})" % part
+    numbered = texts.withColumn("row", F.monotonically_increasing_id())
+    parts = numbered.select("doc_id", "n_bytes", "row", F.posexplode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("seq", "part"))
+    parts = parts.repartition(partitions(texts), "row", "seq")
+    maps = map_rows(parts, mapped, f"doc_id {kind}, n_bytes long, row long, seq int, map binary")
+    own = maps.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"), F.sort_array(F.collect_list(F.struct("seq", "map"))).alias("maps"))
+    return map_rows(own.select("doc_id", "n_bytes", "maps"), composed, f"doc_id {kind}, n_bytes long, n_tokens long")
+
+
+def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIMIT, long: int = LONG_TEXT, part: int = PART) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit of every row."""
+    path = tokenizer or default_tokenizer()
     kind = dict(docs.dtypes)["doc_id"]
-    text = F.col("text").cast("string")
-    return map_rows(docs.select("doc_id", F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), text.alias("text")), make, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
+    is_long = F.col("n_bytes") > long
+    found = _short(texts.where(~is_long), path, kind).union(_long(texts.where(is_long), path, kind, part))
+    return found.withColumn("over_limit", F.col("n_tokens") > limit)
