@@ -5,13 +5,17 @@ numbers (Luhn) and phone numbers.
 
 The field's nodes are a document's words with a digit or an @; its labels are none or one of the kinds. Each node has
 a potential from its shape and the cue word before it; neighbours in the text share a chain potential; nodes
-with equal or similar normal forms (same letters and digits, or same last digits) share a skip potential, from one
-mention to the next. Loopy message passing (sum-product, damped) gives each node's marginals, so what one mention
-shows reaches all mentions in the document. Nodes that a pattern covers are clamped to its kind. A node outside the
-patterns' spans whose label is a kind with probability ``SURE`` or more is a span of its own.
-
-Weights are trained by pseudo-likelihood on at most ``MAX_SAMPLE`` documents (those with the smallest hash of their id
-that have nodes), with the patterns' kinds as labels. Detection covers every whole text.
+with equal or similar normal forms (same letters and digits, or same last digits) share a skip potential, each mention
+with the form's first, so that any two mentions are two steps apart however many there are. Loopy message passing
+(sum-product, damped) goes on until the messages settle; it gives each node's marginals, so what one mention shows
+reaches all mentions in the document. Nodes that a pattern covers are clamped to its kind, and a node whose own digits
+rule a kind out (a card number's by Luhn, an address by a part over 255) can't have it. A node outside the patterns'
+spans whose label is a kind with probability ``SURE`` or more is a span of its own.
+
+Weights are trained by pseudo-likelihood on at most ``MAX_SAMPLE`` documents with nodes, those with the smallest hash
+of id and text, with the patterns' kinds as labels; a document that would bring the nodes of the sample over
+``MAX_NODES`` is not sampled. The skip weights are drawn to ``CONSISTENT`` for equal labels, not to zero: mentions
+of one form have one label unless the documents show otherwise. Detection covers every whole text.
 
 Spans are code points, end exclusive. Defined cases: null and empty texts have no spans; null ids and repeated rows
 stay; an empty table gives an empty result; without documents to train on the weights are zero and only patterns count.
@@ -32,7 +36,17 @@ from .common import map_rows
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_SAMPLE = 2000
-ROUNDS, DAMPING, SURE = 12, 0.3, 0.9
+#: Nodes of the whole training sample at most.
+MAX_NODES = 200_000
+DAMPING, SETTLED, SURE = 0.3, 1e-6, 0.9
+#: What the skip weights of equal labels are drawn to: more than the chain weights of two neighbours weigh.
+CONSISTENT = 16.0
+#: Characters of a word that its form needs to link it; a shorter number may stand twice by chance.
+LEAST_FORM = 6
+#: Log potential of a label that a node can't have.
+NEVER = -1e3
+#: Nodes or messages that one step of array arithmetic takes.
+BLOCK = 1 << 16
 CHAIN_GAP = 12  # code points between neighbours of a chain
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -111,15 +125,24 @@ WIDTH = sum(n for _, n in FEATURES)
 
 def features(word: str, before: str) -> list[int]:
     """One index for each of FEATURES."""
-    digits = digits_of(word) if len(word) <= 64 else word[:64]
-    n = len(digits) if len(word) <= 64 else 64
+    digits = digits_of(word)
+    n = len(digits)
     core = word.strip(".,;:!?()[]<>\"'")
-    parts = core.split(".") if len(core) <= 64 else []
     values = (
-        0, ("@" in word) + ("@" in word and "." in word.partition("@")[2]), word[:1] == "+" or word[1:2] == "+", bucket(n, (1, 4, 7, 9, 13, 16, 20)),
-        bucket(sum(c.isalpha() for c in word[:64]), (1, 4, 12)), min(core.count("."), 5), min(word.count("-"), 3), any(c in word for c in "/:=_%"), len(word) <= 64 and 13 <= n <= 19 and luhn(digits),
-        len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts), CUE_OF.get(before.lower().strip(".,;()"), 4), bucket(len(word), (4, 8, 14, 24)), "(" in word or ")" in word,
-    )
+        0,
+        ("@" in word) + ("@" in word and "." in word.partition("@")[2]),
+        word[:1] == "+" or word[1:2] == "+",
+        bucket(n, (1, 4, 7, 9, 13, 16, 20)),
+        bucket(sum(map(str.isalpha, word)), (1, 4, 12)),
+        min(core.count("."), 5),
+        min(word.count("-"), 3),
+        any(c in word for c in "/:=_%"),
+        13 <= n <= 19 and luhn(digits),
+        address_like(core) and not over_255(core),
+        CUE_OF.get(before.lower().strip(".,;()"), 4),
+        bucket(len(word), (4, 8, 14, 24)),
+        "(" in word or ")" in word,
+    )
     out, at = [], 0
     for (_, size), v in zip(FEATURES, values, strict=True):
         out.append(at + int(v))
@@ -127,6 +150,23 @@ def features(word: str, before: str) -> list[int]:
     return out
 
 
+def address_like(core: str) -> bool:
+    """Four runs of digits between dots."""
+    return core.count(".") == 3 and all(p.isascii() and p.isdigit() for p in core.split("."))
+
+
+def over_255(core: str) -> bool:
+    return any(len(p.lstrip("0")) > 3 or int(p.lstrip("0") or 0) > 255 for p in core.split("."))
+
+
+def ruled_out(word: str) -> int:
+    """The label (1 + kind) that the word's own digits rule out, or 0."""
+    n = sum("0" <= c <= "9" for c in word)
+    if 13 <= n <= 19 and not luhn(digits_of(word)):
+        return 1 + KINDS.index("card")
+    return 1 + KINDS.index("ip") if address_like(word) and over_255(word) else 0
+
+
 def nodes(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, word, word before) of words with a digit or an @, without punctuation around them."""
     out, before = [], ""
@@ -142,19 +182,21 @@ def nodes(text: str) -> list[tuple[int, int, str, str]]:
 
 
 def edges(own: list[tuple[int, int, str, str]]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain edges and skip edges. A form's mentions are linked each to the next, so many mentions give as many edges."""
+    """Chain edges and skip edges. A form's mentions are linked each to the first, so many mentions give as many edges."""
     chain = [(k, k + 1) for k in range(len(own) - 1) if own[k + 1][0] - own[k][1] <= CHAIN_GAP]
-    last: dict = {}
+    first: dict = {}
     skip = set()
     for k, (_, _, word, _) in enumerate(own):
-        form = "".join(c for c in word.lower() if c.isalnum())
         digits = digits_of(word)
-        for key in {("form", form)} | ({("tail", digits[-7:])} if len(digits) >= 7 else set()) | ({("name", word.lower().partition("@")[0])} if "@" in word else set()):
-            if len(key[1]) >= 4:
-                if key in last:
-                    skip.add((last[key], k))
-                last[key] = k
-    return chain, sorted(skip - set(chain))
+        keys = {("form", "".join(c for c in word.lower() if c.isalnum()))} if len(word) >= LEAST_FORM else set()
+        if len(digits) >= 7:
+            keys.add(("tail", digits[-7:]))
+        if "@" in word:
+            keys.add(("name", word.lower().partition("@")[0]))
+        for key in keys:
+            if len(key[1]) >= 4 and (at := first.setdefault(key, k)) != k:
+                skip.add((at, k))
+    return [e for e in chain if e not in skip], sorted(skip)  # a pair that is both shares the skip potential
 
 
 @dataclass
@@ -170,42 +212,48 @@ class Field:
         n = len(KINDS) + 1
         return cls(np.zeros((WIDTH, n)), np.zeros((n, n)), np.zeros((n, n)))
 
-    def marginals(self, feats: np.ndarray, chain: list, skip: list, clamped: np.ndarray | None = None, rounds: int | None = None, damping: float = DAMPING) -> np.ndarray:
-        """Loopy sum-product in logs. feats: a row of indices for each node; clamped: its known label, or -1. Exact on trees, if rounds cover them.
-        Rounds end when the messages settle; unless given, their bound grows with the longest skip chain."""
-        n = len(feats)
-        unary = self.node[feats].sum(axis=1)
-        if clamped is not None and (clamped >= 0).any():
+    def marginals(
+        self, feats: np.ndarray, chain: list, skip: list, clamped: np.ndarray | None = None, rounds: int | None = None, damping: float = DAMPING, never: np.ndarray | None = None
+    ) -> np.ndarray:
+        """Loopy sum-product in logs. feats: a row of indices for each node; clamped: its known label, or -1; never: a label that
+        it can't have, or 0. Exact on trees, if rounds cover them. Unless rounds are given, they end when the messages
+        settle; as a message's way is no longer than there are nodes, their bound is twice that number and some."""
+        n, k = len(feats), len(KINDS) + 1
+        if not n:
+            return np.zeros((0, k))
+        unary = np.concatenate([self.node[feats[at : at + BLOCK]].sum(axis=1) for at in range(0, n, BLOCK)])
+        if never is not None:
+            own = np.flatnonzero(never)
+            unary[own, never[own]] = NEVER
+        if clamped is not None:
             known = np.flatnonzero(clamped >= 0)
-            unary[known] = -1e3
+            unary[known] = NEVER
             unary[known, clamped[known]] = 0
         if chain or skip:
-            pairs = np.array([*chain, *skip], np.int64)
-            tables = np.concatenate([np.repeat(self.chain[None], len(chain), 0), np.repeat(self.skip[None], len(skip), 0)])
+            pairs, cut = np.array([*chain, *skip], np.int64), len(chain)
+            m = len(pairs)
             source, target = np.concatenate([pairs[:, 0], pairs[:, 1]]), np.concatenate([pairs[:, 1], pairs[:, 0]])
-            tables = np.concatenate([tables, tables.transpose(0, 2, 1)])
-            back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
-            sent = np.zeros((len(source), unary.shape[1]))
-            for _ in range(ROUNDS + 2 * longest(skip) if rounds is None else rounds):  # damped messages need more than a round a hop
-                total = unary.copy()
+            ways = ((0, cut, self.chain), (cut, m, self.skip), (m, m + cut, self.chain.T), (m + cut, 2 * m, self.skip.T))
+            sent, new = np.zeros((2 * m, k)), np.zeros((2 * m, k))
+            total = unary.copy()
+            for _ in range(2 * n + 50 if rounds is None else rounds):
+                moved = 0.0
+                for first, last, table in ways:
+                    for at in range(first, last, BLOCK):
+                        some = slice(at, min(at + BLOCK, last))
+                        back = slice(some.start - m, some.stop - m) if at >= m else slice(some.start + m, some.stop + m)
+                        x = total[source[some]] - sent[back]
+                        out = np.stack([logsum(x + table[:, j], 1) for j in range(k)], axis=1)
+                        out -= logsum(out, 1)[:, None]
+                        new[some] = damping * sent[some] + (1 - damping) * out
+                        moved = max(moved, float(np.abs(out - sent[some]).max()))
+                sent, new = new, sent
+                total[:] = unary
                 np.add.at(total, target, sent)
-                new = logsum((total[source] - sent[back])[:, :, None] + tables, 1)
-                new -= logsum(new, 1)[:, None]
-                moved = np.abs(new - sent).max()
-                sent = damping * sent + (1 - damping) * new
-                if moved < 1e-6:
+                if moved < SETTLED and rounds is None:
                     break
-            unary = unary.copy()
-            np.add.at(unary, target, sent)
-        return np.exp(unary - logsum(unary, 1)[:, None]) if n else np.zeros((0, len(KINDS) + 1))
-
-
-def longest(skip: list[tuple[int, int]]) -> int:
-    """Edges on the longest chain of skip edges, each from an earlier node to a later one."""
-    hops: dict[int, int] = {}
-    for a, b in sorted(skip):
-        hops[b] = max(hops.get(b, 0), hops.get(a, 0) + 1)
-    return max(hops.values(), default=0)
+            unary = total
+        return np.exp(unary - logsum(unary, 1)[:, None])
 
 
 def logsum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -243,6 +291,8 @@ def train(samples: list[tuple[np.ndarray, np.ndarray, list, list]], steps: int =
         np.add.at(counts, pairs[:, 0], one[labels[pairs[:, 1]]])
         np.add.at(counts, pairs[:, 1], one[labels[pairs[:, 0]]])
         near.append(counts)
+    drawn = (np.zeros_like(field.node), np.zeros_like(field.chain), CONSISTENT * one)
+    field.skip += drawn[2]
     memory = [np.full_like(w, 1e-8) for w in (field.node, field.chain, field.skip)]
     for _ in range(steps):
         x = field.node[feats].sum(axis=1) + near[0] @ field.chain + near[1] @ field.skip
@@ -250,8 +300,9 @@ def train(samples: list[tuple[np.ndarray, np.ndarray, list, list]], steps: int =
         error = (one[labels] - p) / len(labels)
         node = np.zeros_like(field.node)
         np.add.at(node, feats.ravel(), np.repeat(error, feats.shape[1], axis=0))
-        grads = [node - ridge * field.node, *((g + g.T) / 2 - ridge * w for g, w in ((near[0].T @ error, field.chain), (near[1].T @ error, field.skip)))]
-        for w, g, m in zip((field.node, field.chain, field.skip), grads, memory, strict=True):
+        pulls = (node, *((g + g.T) / 2 for g in (near[0].T @ error, near[1].T @ error)))
+        for w, g, m, to in zip((field.node, field.chain, field.skip), pulls, memory, drawn, strict=True):
+            g = g - ridge * (w - to)
             m += g * g
             w += rate * g / np.sqrt(m)
     return field
@@ -264,42 +315,55 @@ def detect(text: str, field: Field) -> tuple[list[tuple[int, int, int]], list[tu
     if not own:
         return found, []
     known = labels_of(own, found)
-    feats = np.array([features(w, b) for _, _, w, b in own])
-    p = field.marginals(feats, *edges(own), np.where(known > 0, known, -1))
+    feats = np.array([features(w, b) for _, _, w, b in own], np.int32)
+    never = np.array([ruled_out(w) for _, _, w, _ in own])
+    p = field.marginals(feats, *edges(own), np.where(known > 0, known, -1), never=never)
     best = p.argmax(axis=1)
     more = [(int(best[k]) - 1, a, b) for k, (a, b, *_) in enumerate(own) if not known[k] and best[k] and p[k, best[k]] >= SURE]
     return found, more
 
 
+def sampled(docs: DataFrame, bound: int = MAX_SAMPLE, most: int = MAX_NODES) -> DataFrame:
+    """doc_id and text of the training sample, each row of docs that it holds once."""
+    text = F.col("text").cast("string")
+    n = F.regexp_count(text, F.lit(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@]"))  # begins at words only: linear
+    rows = docs.where(F.col("doc_id").isNotNull() & text.rlike("[0-9@]")).select("doc_id", text.alias("text"), F.xxhash64("doc_id", "text").alias("_h"))
+    few = rows.groupBy("_h").agg(F.min(n.cast("long")).alias("n")).orderBy("_h").limit(bound).collect()  # bound rows of two numbers
+    left, own = most, []
+    for r in few:
+        if r["n"] <= left:
+            left -= r["n"]
+            own.append((r["_h"],))
+    some = docs.sparkSession.createDataFrame(own, "_h long")
+    return rows.join(F.broadcast(some), "_h").groupBy("_h").agg(F.min(F.struct("doc_id", "text")).alias("own")).select("own.*")
+
+
 def fit(docs: DataFrame, bound: int = MAX_SAMPLE) -> Field:
-    some = docs.where(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@]")).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    lists = {"feats": pa.list_(pa.int32()), "labels": pa.list_(pa.int64()), "pairs": pa.list_(pa.int32())}
 
     def make():
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = {"doc_id": [], "feats": [], "labels": [], "pairs": [], "n_chain": []}
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = nodes(text or "")[:NODES]
+            rows = []
+            for text in batch.column(1).to_pylist():
+                own = nodes(text or "")
                 chain, skip = edges(own)
-                for k, v in (("doc_id", doc), ("feats", [f for _, _, w, b in own for f in features(w, b)]), ("labels", labels_of(own, base(text or "")).tolist()), ("pairs", [x for p in (*chain, *skip) for x in p]), ("n_chain", len(chain))):
-                    out[k].append(v)
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out["feats"], pa.list_(pa.int32())), pa.array(out["labels"], pa.list_(pa.int64())), pa.array(out["pairs"], pa.list_(pa.int32())), pa.array(out["n_chain"], pa.int32())], list(out))
+                feats = [f for _, _, w, b in own for f in features(w, b)]
+                rows.append((feats, labels_of(own, base(text or "")).tolist(), [x for p in (*chain, *skip) for x in p], len(chain)))
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((*lists.values(), pa.int32()))]
+            return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *lists, "n_chain"])
 
         return run
 
     kind = dict(docs.dtypes)["doc_id"]
-    rows = map_rows(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id"), make, f"doc_id {kind}, feats array<int>, labels array<long>, pairs array<int>, n_chain int")  # bound ids
+    rows = map_rows(sampled(docs, bound), make, f"doc_id {kind}, feats array<int>, labels array<long>, pairs array<int>, n_chain int")
     samples = []
-    for r in sorted(rows.collect(), key=lambda r: (r["doc_id"], r["labels"], r["feats"])):  # bound rows, NODES nodes each
+    for r in sorted(rows.collect(), key=lambda r: (r["doc_id"], r["labels"], r["feats"])):  # bound rows, MAX_NODES nodes in all
         if r["labels"]:
             pairs = [tuple(r["pairs"][k : k + 2]) for k in range(0, len(r["pairs"]), 2)]
             samples.append((np.array(r["feats"]).reshape(-1, len(FEATURES)), np.array(r["labels"]), pairs[: r["n_chain"]], pairs[r["n_chain"] :]))
     return train(samples)
 
 
-#: Nodes of a training document, the first ones.
-NODES = 500
-
-
 def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
 
