@@ -1,16 +1,19 @@
 """SimHash near-duplicates: fingerprints of word shingles, linked through a Gray-order hierarchical index.
 
 1. One pass makes the fingerprints; documents with one fingerprint become one row (partial aggregation).
-2. A pair within ``radius`` bits agrees on at least ``blocks - radius`` of ``blocks`` bit blocks. Each fingerprint
-   is routed once per choice of so many blocks, keyed by its bits there. Keys with more than ``LARGE`` members are
-   split: the members are salted into slices, and each pair of slices becomes a group of its own.
-3. In each group the fingerprints come sorted by Gray rank (the position in the reflected Gray code, whose
-   neighbours differ by a bit). A hierarchy stands on that order: a node keeps the bits that all below it share
-   (mask and pattern), and a child stores only what it adds to its parent's. Pairs of nodes descend together and
-   accumulate the differences in shared bits; over ``radius`` the pair of subtrees is dropped, and where even the
-   union of all bits that vary stays within ``radius``, it is linked whole.
-4. A group returns a spanning star of each of its components, never its pairs; large-star and small-star rounds
-   join them over all groups, and each fingerprint's component gets the smallest document id in it.
+2. The distinct fingerprints are sorted by Gray rank (the position in the reflected Gray code, whose neighbours differ by
+   a bit) in ``ORDERS`` orders, each of which begins with another part of the bits: a pair within ``radius`` bits differs in one
+   of the leading parts by no more than that order's budget, since the budgets and one for each sum up to radius + 1.
+3. Each order is a hierarchy. Its upper nodes are the parts of the sorted whole (range partitions of about ``PART``
+   fingerprints): a node factors out the bits that all below it share, as mask and pattern. Pairs of upper nodes accumulate the
+   differences in bits that both share; over the radius, or over the budget in the leading bits, the pair of parts is pruned
+   as a whole. Only what is left is opened: both parts go to one task, where trees of the same kind descend together, each
+   node adding what it shares beyond its parent, and prune in the same way down to single fingerprints. Where even the
+   union of all bits that vary stays within the radius, two subtrees are linked whole.
+4. A pair of parts returns a spanning star of each of its components, never its pairs; large-star and small-star rounds
+   join them over all, and each fingerprint's component gets the smallest document id in it.
+
+A fingerprint that many documents have is joined to them by broadcast, if it holds over a ``HOT``-th of the rows.
 
 Defined cases: null, empty and blank texts have fingerprint zero and link like any other; rows with a null id get
 a fingerprint and the component's smallest id that isn't null; repeated rows give repeated results; an empty
@@ -19,12 +22,14 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +37,13 @@ from .common import as_bytes, drop_folder, map_rows, new_folder, partitions, shi
 
 SHINGLE = 4
 RADIUS = 4
-BLOCKS = 6
-#: Members of a routed group in one task at most, twice that in a pair of slices.
-LARGE = 2048
-FAN = 8
+ORDERS = 3
+#: Fingerprints in a part of an order, about; parts of an order at most, whose nodes the driver holds: beyond, parts grow.
+PART, MAX_PARTS = 1 << 15, 1 << 15
+#: Children of a node in a part's tree, and pairs of nodes that are looked at in one step.
+FAN, WIDE = 4, 1 << 16
+#: A fingerprint of more than a HOT-th of all rows is joined by broadcast: fewer than HOT of them.
+HOT = 1000
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = 42) -> int:
@@ -79,69 +87,129 @@ def gray_rank(fp: Column) -> Column:
     return fp.bitwiseXOR(F.lit(-(1 << 63)))
 
 
-def masks(radius: int = RADIUS, blocks: int = BLOCKS) -> list[int]:
-    """Signed bit masks of every choice of blocks that a pair within radius can agree on."""
-    if not radius < blocks <= 64:
-        raise ValueError("blocks must be over radius, and 64 at most")
-    cuts = [round(64 * k / blocks) for k in range(blocks + 1)]
-    one = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:], strict=False)]
-    return [m - (1 << 64) if m >> 63 else m for m in (sum(c) for c in combinations(one, blocks - radius))]
+def leads(radius: int = RADIUS, orders: int = ORDERS) -> list[tuple[int, int, int]]:
+    """Of each order: the rotation that brings its part of the bits to the front, that part's length, and its budget."""
+    if not 0 < orders <= min(radius + 1, 63):
+        raise ValueError("orders must be from 1 to radius + 1")
+    cuts = [round(64 * k / orders) for k in range(orders + 1)]
+    each, more = divmod(radius + 1, orders)
+    return [(a, b - a, each - 1 + (k < more)) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
 
 
-def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, large: int = LARGE) -> DataFrame:
-    """(a, b) with a < b: spanning stars of the distinct fingerprints in column fp; their components are those of all links."""
+def rotated(fp: Column, by: int) -> Column:
+    return F.shiftleft(fp, by).bitwiseOR(F.shiftrightunsigned(fp, 64 - by)) if by else fp
+
+
+def ordered(fps: DataFrame, radius: int, orders: int, large: int) -> DataFrame:
+    """order, part, key of the distinct fingerprints in column fp: keys are the rotated fingerprints, parts ranges of their Gray rank."""
+    n = fps.count()
+    parts = max(1, min(MAX_PARTS, math.ceil(n / large)))
     ship(fps.sparkSession)
+
+    def numbered(order: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = TaskContext.get().partitionId()
+            for batch in batches:
+                same = [pa.array(np.full(batch.num_rows, v, kind)) for v, kind in ((order, np.int32), (part, np.int32))]
+                yield pa.RecordBatch.from_arrays([*same, batch.column(0)], ["order", "part", "key"])
+
+        return run
+
+    out = None
+    for k, (by, _, _) in enumerate(leads(radius, orders)):
+        keys = fps.select(rotated(F.col("fp"), by).alias("key")).repartitionByRange(parts, gray_rank(F.col("key")))
+        one = keys.mapInArrow(numbered(k), "order int, part int, key long")
+        out = one if out is None else out.union(one)
+    return stage(out, "simhash-orders")
+
+
+def part_pairs(keys: DataFrame, radius: int, orders: int) -> pa.Table:
+    """order, a, b of the pairs of parts (a <= b) that may hold links: the upper nodes, one for each part, joined by their
+    accumulated differences. The driver holds MAX_PARTS nodes of an order at most, in Gray order."""
+    nodes = keys.groupBy("order", "part").agg(F.bit_and("key").alias("all"), F.bit_or("key").alias("any")).orderBy("order", "part").collect()
+    found = [pa.table({c: pa.array([], pa.int32()) for c in ("order", "a", "b")})]
+    for k, (_, length, budget) in enumerate(leads(radius, orders)):
+        own = [r for r in nodes if r["order"] == k]
+        if own:
+            names = np.array([r["part"] for r in own], np.int32)
+            tree = Tree(*(np.array([r[c] for r in own], np.int64).view(np.uint64) for c in ("all", "any")))
+            for i, j in descend(tree, tree, True, lead_mask(length), budget, radius, None):
+                found.append(pa.table({"order": np.full(len(i), k, np.int32), "a": names[i], "b": names[j]}))
+    return pa.concat_tables(found)
+
+
+def opened(fps: DataFrame, radius: int = RADIUS, orders: int = ORDERS, large: int = PART) -> DataFrame:
+    """order, pair, side, key of the pairs of parts to be opened, each pair in one partition, in Gray order. In a pair of a part with itself all have side 0."""
     spark = fps.sparkSession
-    routes = F.array(*(F.struct(F.lit(k).cast("short").alias("route"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for k, m in enumerate(masks(radius, blocks))))
-    routed = fps.select("fp", F.inline(routes))
-    slices = (
-        routed.groupBy("route", "bits").agg(F.count("*").alias("n")).where(F.col("n") > large)
-        .select("route", "bits", F.ceil(F.col("n") / large).cast("int").alias("slices"))
+    keys = ordered(fps, radius, orders, large)
+    pairs = part_pairs(keys, radius, orders)
+    n = pairs.num_rows
+    ids, one = pa.array(np.arange(n)), pa.array(np.ones(n, np.int32))
+    first = pa.table({"order": pairs["order"], "part": pairs["a"], "pair": ids, "side": pc.subtract(one, one)})
+    second = pa.table({"order": pairs["order"], "part": pairs["b"], "pair": ids, "side": one}).filter(pc.not_equal(pairs["a"], pairs["b"]))
+    where = spark.createDataFrame(pa.concat_tables([first, second]).combine_chunks())
+    parts = len(set(zip(pairs["order"].to_pylist(), pairs["b"].to_pylist(), strict=True)))
+    copies = orders * (first.num_rows + second.num_rows) / max(1, parts)  # of a fingerprint
+    return (
+        keys.join(where, ["order", "part"]).select("order", "pair", "side", "key")
+        .repartition(partitions(fps, 3.0 * copies), "pair")
+        .sortWithinPartitions("pair", "side", gray_rank(F.col("key")))
     )
-    slices = stage(slices, "simhash-slices")
-    if not slices.isEmpty():
-        # A member goes to the pairs of its own slice and every slice.
-        own = F.pmod(F.xxhash64("fp"), F.col("slices")).cast("int")
-        pairs = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda k: F.least(k, own) * F.lit(1 << 16) + F.greatest(k, own))
-        routed = routed.join(slices, ["route", "bits"], "left").withColumn("part", F.explode(F.coalesce(F.when(F.col("slices").isNotNull(), pairs), F.array(F.lit(0)))))
-    else:
-        routed = routed.withColumn("part", F.lit(0))
-    groups = (
-        routed.select("route", "bits", "part", "fp", gray_rank(F.col("fp")).alias("rank"))
-        .repartition(partitions(fps, 3.0 * len(masks(radius, blocks))), "route", "bits", "part")
-        .sortWithinPartitions("route", "bits", "part", "rank")
-        .select("route", "bits", "part", "fp")
-    )
-    return groups.mapInArrow(lambda batches: _stars(batches, radius), "a long, b long").distinct()
-
-
-def _stars(batches: Iterator[pa.RecordBatch], radius: int, hold: int = 1 << 17) -> Iterator[pa.RecordBatch]:
-    """Collects whole groups, up to about hold rows, and sends back the stars of their components."""
-    rest: list[np.ndarray] = []
-    held = 0
-
-    def flush(final: bool):
-        nonlocal rest, held
-        rows = np.concatenate(rest, axis=1) if rest else np.empty((4, 0), np.int64)
-        if rows.shape[1]:
-            new = np.concatenate(([True], (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)))
-            group = np.cumsum(new) - 1
-            cut = rows.shape[1] if final else int(np.flatnonzero(new)[-1])
-            out = stars(group[:cut], rows[3, :cut].view(np.uint64), radius)
-            rest, held = [rows[:, cut:]], rows.shape[1] - cut
-            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in out], ["a", "b"])
-        return None
+
+
+def links(fps: DataFrame, radius: int = RADIUS, orders: int = ORDERS, large: int = PART) -> DataFrame:
+    """(a, b) with a < b: spanning stars of the distinct fingerprints in column fp; their components are those of all links."""
+    found = opened(fps, radius, orders, large).mapInArrow(lambda batches: _found(batches, radius, orders, False), "a long, b long")
+    return found.distinct()
+
+
+def report(fps: DataFrame, radius: int = RADIUS, orders: int = ORDERS, large: int = PART) -> DataFrame:
+    """order, pairs (of parts, opened), members (in them), possible (pairs of fingerprints in the whole order), compared (of them)."""
+    n = fps.count()
+    found = opened(fps, radius, orders, large).mapInArrow(lambda batches: _found(batches, radius, orders, True), "order int, members long, compared long")
+    sums = found.groupBy("order").agg(F.count("*").alias("pairs"), F.sum("members").alias("members"), F.sum("compared").alias("compared"))
+    return sums.select("order", "pairs", "members", F.lit(n * (n - 1) // 2).alias("possible"), "compared")
+
+
+def _found(batches: Iterator[pa.RecordBatch], radius: int, orders: int, counts: bool) -> Iterator[pa.RecordBatch]:
+    """Opens one pair of parts after the other and sends back its stars, or what it cost."""
+    own = leads(radius, orders)
+    for order, a, b in _pairs(batches):
+        by, length, budget = own[order]
+        compared = [0]
+        x, y = linked(a, b, lead_mask(length), budget, radius, compared)
+        if counts:
+            yield pa.RecordBatch.from_arrays([pa.array([order], pa.int32()), pa.array([len(a) + len(b if b is not None else ())], pa.int64()), pa.array(compared, pa.int64())], ["order", "members", "compared"])
+        elif len(x):
+            x, y = (((v >> np.uint64(by)) | (v << np.uint64(64 - by)) if by else v).view(np.int64) for v in (x, y))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray | None]]:
+    """(order, keys of side 0, keys of side 1 or None) of each pair of parts; rows come sorted by pair and side."""
+    held: list[np.ndarray] = []
+
+    def whole(rows: np.ndarray):
+        cut = int(np.searchsorted(rows[2], 1))
+        keys = rows[3].view(np.uint64)
+        return int(rows[0, 0]), keys[:cut], keys[cut:] if cut < len(keys) else None
 
     for batch in batches:
-        rest.append(np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)]))
-        held += batch.num_rows
-        if held >= hold:
-            out = flush(False)
-            if out is not None and out.num_rows:
-                yield out
-    out = flush(True)
-    if out is not None and out.num_rows:
-        yield out
+        rows = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)])
+        if not rows.shape[1]:
+            continue
+        cuts = np.flatnonzero(rows[1, 1:] != rows[1, :-1]) + 1
+        parts = np.split(rows, cuts, axis=1)
+        if held and held[0][1, 0] != parts[0][1, 0]:
+            yield whole(np.concatenate(held, axis=1))
+            held = []
+        for k, part in enumerate(parts):
+            if k:
+                yield whole(np.concatenate(held, axis=1))
+                held = []
+            held.append(part)
+    if held:
+        yield whole(np.concatenate(held, axis=1))
 
 
 class _Labels:
@@ -165,70 +233,96 @@ class _Labels:
                 self.of = up
 
 
-def stars(group: np.ndarray, fps: np.ndarray, radius: int = RADIUS, fan: int = FAN, wide: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
-    """group: ascending numbers; fps: unsigned, in Gray order within a group. Returns pairs (signed a < b) from each component's first to its others."""
-    sizes = np.bincount(group) if len(group) else np.zeros(0, np.int64)
-    several = sizes[group] > 1 if len(group) else np.zeros(0, bool)
-    fps = fps[several]
-    if not len(fps):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    starts = np.concatenate(([0], np.cumsum(sizes[sizes > 1])))
-    full = np.uint64(0xFFFFFFFFFFFFFFFF)
-    # Levels from the leaves up: of each node the bits set in all leaves and in any leaf, its first child and child count.
-    levels = [{"all": fps, "any": fps, "first": np.arange(len(fps)), "leaf": np.arange(len(fps)), "leaves": np.ones(len(fps), np.int64)}]
-    bounds = starts
-    while (np.diff(bounds) > 1).any():
-        below = levels[-1]
-        counts = -(-np.diff(bounds) // fan)
-        total = np.concatenate(([0], np.cumsum(counts)))
-        place = np.arange(total[-1]) - np.repeat(total[:-1], counts)
-        first = np.repeat(bounds[:-1], counts) + place * fan
-        levels.append({
-            "all": np.bitwise_and.reduceat(below["all"], first), "any": np.bitwise_or.reduceat(below["any"], first),
-            "child": first, "children": np.minimum(np.repeat(bounds[1:], counts), first + fan) - first, "leaf": below["leaf"][first], "leaves": np.add.reduceat(below["leaves"], first),
-        })
-        bounds = total
-    labels = _Labels(len(fps))
-    shared = [~(x["all"] ^ x["any"]) & full for x in levels]
-    top = np.arange(len(levels[-1]["all"]))
-    work = [(len(levels) - 1, top, top, np.zeros(len(top), np.int64), np.zeros(len(top), np.uint64))]
+def lead_mask(length: int) -> np.uint64:
+    return np.uint64(((1 << length) - 1) << (64 - length))
+
+
+class Tree:
+    """A hierarchy over nodes in Gray order, FAN children each: by level, from the leaves up, the bits set in all and in any leaf below."""
+
+    def __init__(self, every: np.ndarray, any_: np.ndarray):
+        self.all, self.any = [every], [any_]
+        while len(self.all[-1]) > 1:
+            first = np.arange(0, len(self.all[-1]), FAN)
+            self.all.append(np.bitwise_and.reduceat(self.all[-1], first))
+            self.any.append(np.bitwise_or.reduceat(self.any[-1], first))
+        #: Bits that all leaves below share.
+        self.shared = [~(x ^ y) for x, y in zip(self.all, self.any, strict=True)]
+
+    def __len__(self) -> int:
+        return len(self.all[0])
+
+
+def descend(a: Tree, b: Tree, same: bool, lead: np.uint64, budget: int, radius: int, whole, compared: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Yields pairs of leaves (i of a, j of b; i <= j if both are the same tree) that no node rules out. Both trees go down by turns, the higher one first.
+    whole(level a, i, level b, j) is told of pairs of nodes with all leaves within the radius, which then go no further; if it is None, there are none.
+    At leaves that are fingerprints what is left are the links of this order."""
+    work = [(len(a.all) - 1, len(b.all) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.uint8), np.zeros(1, np.uint8), np.zeros(1, np.uint64))]
     while work:
-        level, a, b, so_far, seen = work.pop()
-        if len(a) > wide:
-            work += [(level, a[k : k + wide], b[k : k + wide], so_far[k : k + wide], seen[k : k + wide]) for k in range(0, len(a), wide)]
+        la, lb, i, j, total, leading, seen = work.pop()
+        if len(i) > WIDE:
+            work += [(la, lb, *(x[k : k + WIDE] for x in (i, j, total, leading, seen))) for k in range(0, len(i), WIDE)]
             continue
-        x = levels[level]
-        common = shared[level][a] & shared[level][b]
-        # Bits that the nodes above had already compared are counted in so_far.
-        so_far = so_far + np.bitwise_count((x["all"][a] ^ x["all"][b]) & common & ~seen)
-        near = so_far <= radius
-        a, b, so_far, common = a[near], b[near], so_far[near], common[near]
-        most = np.bitwise_count((x["any"][a] | x["any"][b]) & ~(x["all"][a] & x["all"][b]))
-        whole = most <= radius
-        if whole.any():
-            for side in (a[whole], b[whole]):
-                n, root = x["leaves"][side], x["leaf"][a[whole]]
-                leaf = np.repeat(x["leaf"][side], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                labels.merge(np.repeat(root, n), leaf)
-        if level == 0:
+        common = a.shared[la][i] & b.shared[lb][j]
+        # Bits that the nodes above had already compared are counted in total and leading.
+        off = (a.all[la][i] ^ b.all[lb][j]) & common & ~seen
+        total = total + np.bitwise_count(off)
+        leading = leading + np.bitwise_count(off & lead)
+        left = (total <= radius) & (leading <= budget)
+        if same:  # each pair once: not where all leaves of i come after those of j
+            left &= i * FAN**la < (j + 1) * FAN**lb
+        if compared is not None and la == lb == 0:
+            compared[0] += len(i)
+        i, j, total, leading, common = (x[left] for x in (i, j, total, leading, common))
+        if whole is not None and la + lb:
+            vary = (a.any[la][i] | b.any[lb][j]) & ~(a.all[la][i] & b.all[lb][j])
+            near = np.bitwise_count(vary) <= radius
+            if near.any():
+                whole(la, i[near], lb, j[near])
+                i, j, total, leading, common = (x[~near] for x in (i, j, total, leading, common))
+        if not len(i):
             continue
-        a, b, so_far, common = a[~whole], b[~whole], so_far[~whole], common[~whole]
-        if not len(a):
+        if la == lb == 0:
+            yield i, j
             continue
-        n, m = x["children"][a], x["children"][b]
-        each = n * m
-        k = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-        i, j = np.repeat(x["child"][a], each) + k // np.repeat(m, each), np.repeat(x["child"][b], each) + k % np.repeat(m, each)
-        ordered = i <= j
-        so_far, common = np.repeat(so_far, each)[ordered], np.repeat(common, each)[ordered]
-        i, j = i[ordered], j[ordered]
-        if level == 1:  # leaves that are linked already need no comparison
-            open_ = labels.of[i] != labels.of[j]
-            i, j, so_far, common = i[open_], j[open_], so_far[open_], common[open_]
-        work.append((level - 1, i, j, so_far, common))
+        down, level, size = (i, la, len(a.all[la - 1])) if la >= lb else (j, lb, len(b.all[lb - 1]))
+        n = np.minimum(FAN, size - down * FAN)
+        at = np.repeat(np.arange(len(i)), n)
+        child = down[at] * FAN + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        more = (total[at], leading[at], common[at])
+        work.append((la - 1, lb, child, j[at], *more) if la >= lb else (la, lb - 1, i[at], child, *more))
+
+
+def linked(a: np.ndarray, b: np.ndarray | None, lead: np.uint64, budget: int, radius: int, compared: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs from each component's first to its others, by the links of two parts (b None: within one) that this order finds. Keys unsigned, in Gray order."""
+    every = a if b is None else np.concatenate([a, b])
+    first = Tree(a, a)
+    second = first if b is None else Tree(b, b)
+    shift = 0 if b is None else len(a)
+    labels = _Labels(len(every))
+
+    def leaves(level: int, node: np.ndarray, size: int, at: int) -> tuple[np.ndarray, np.ndarray]:
+        begin = node * FAN**level
+        n = np.minimum(FAN**level, size - begin)
+        return at + np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n), n
+
+    def whole(la: int, i: np.ndarray, lb: int, j: np.ndarray) -> None:
+        root = i * FAN**la
+        for own, n in (leaves(la, i, len(first), 0), leaves(lb, j, len(second), shift)):
+            labels.merge(np.repeat(root, n), own)
+
+    if len(a) and (b is None or len(b)):
+        for i, j in descend(first, second, b is None, lead, budget, radius, whole, compared):
+            labels.merge(i, j + shift)
     root = labels.of
-    linked = root != np.arange(len(root))
-    a, b = fps[root[linked]].view(np.int64), fps[linked].view(np.int64)
+    others = root != np.arange(len(root))
+    return every[root[others]], every[others]
+
+
+def stars(group: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """The same of whole groups by one order with the whole radius as its budget. group: ascending numbers; fps: unsigned, in Gray order within a group. Pairs are signed, a < b."""
+    out = [linked(own, None, lead_mask(64), radius, radius) for own in np.split(fps, np.flatnonzero(group[1:] != group[:-1]) + 1)]
+    a, b = (np.concatenate([np.empty(0, np.uint64), *x]).view(np.int64) for x in zip(*out, strict=True))
     return np.minimum(a, b), np.maximum(a, b)
 
 
@@ -260,23 +354,29 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def simhash_classes(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def simhash_classes(docs: DataFrame, radius: int = RADIUS, orders: int = ORDERS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fp, fingerprint, component_id of every row."""
     rows = stage(fingerprints(docs, key, text), "simhash-fingerprints")
-    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
-    roots = components(links(distinct.select("fp"), radius, blocks))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "simhash-distinct")
+    roots = components(links(distinct.select("fp"), radius, orders))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", "n", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = stage(rooted.join(least, "root").select("fp", "n", "component_id"), "simhash-classes")
+    # A join by fingerprint would bring all copies of a text to one task: those of the few hot ones stay where they are.
+    total = rows.count()
+    hot = classes.where(F.col("n") * HOT > total).select("fp", "component_id")
+    few = F.broadcast(hot)  # fewer than HOT rows
+    rest = rows.join(few.select("fp"), "fp", "left_anti").join(classes.drop("n"), "fp")
+    every = rows.join(few, "fp").select("doc_id", "fp", "component_id").union(rest.select("doc_id", "fp", "component_id"))
+    return every.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def keep_one(docs: DataFrame, radius: int = RADIUS, orders: int = ORDERS) -> DataFrame:
     """docs with one document of each class, the one with the smallest id; columns stay.
 
     Rows without an id stay, as no class can name them. Of repeated rows with the kept id, one stays.
     """
-    classes = simhash_classes(docs, radius, blocks)
+    classes = simhash_classes(docs, radius, orders)
     kept = classes.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("copies"))
     kept = stage(kept, "simhash-kept")
     rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id")  # as a struct, no column clashes

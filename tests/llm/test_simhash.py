@@ -132,3 +132,48 @@ def test_keep_one(frame):
     got = sh.keep_one(frame(rows))
     assert got.columns == frame(rows).columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in got.collect()) == [(False, 3), (False, 4), (False, 7), (True, 0)]
+
+
+def test_orders_find_every_link(spark):
+    """10,000 clustered fingerprints in many parts: the components of all links, found by opening few pairs."""
+    fps = clustered(10_000, 9)
+    df = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "fp long")
+    keys = np.array(fps, np.uint64)
+    near = {(min(a, b), max(a, b)) for k, a in enumerate(fps) for b in keys[np.bitwise_count(keys ^ keys[k]) <= 4].tolist() if a != b}
+    for orders in (1, 3, 5):
+        of = {f: f for f in fps}
+
+        def find(f, of=of):
+            while of[f] != f:
+                of[f] = of[of[f]]
+                f = of[f]
+            return f
+
+        unsigned = lambda v: int(np.int64(v).astype(np.uint64))
+        edges = [(unsigned(r.a), unsigned(r.b)) for r in sh.links(df, orders=orders, large=500).collect()]
+        whole = {f: f for f in fps}
+        for a, b in edges:
+            of[max(find(a), find(b))] = min(find(a), find(b))
+        for a, b in near:
+            x, y = find(a, whole), find(b, whole)
+            whole[max(x, y)] = min(x, y)
+        assert [find(f) for f in fps] == [find(f, whole) for f in fps]
+    for r in sh.report(df, large=500).collect():
+        print(r)
+        assert r.possible == 10_000 * 9_999 // 2 and r.compared < 0.1 * r.possible
+
+
+def test_budgets_cover_the_radius():
+    for radius in range(9):
+        for orders in range(1, radius + 2):
+            own = sh.leads(radius, orders)
+            assert sum(b + 1 for _, _, b in own) == radius + 1 and sum(n for _, n, _ in own) == 64 and all(b >= 0 for _, _, b in own)
+    with pytest.raises(ValueError, match="orders"):
+        sh.leads(4, 6)
+
+
+def test_hot_fingerprints(frame):
+    """Copies that hold most rows, empty texts among them."""
+    rows = [(k, "one two three four five six") for k in range(3000)] + [(k, "") for k in range(3000, 5000)] + [(k, f"other text {k} stands here for itself {k * 7}") for k in range(5000, 5100)]
+    got = {r.doc_id: r.component_id for r in sh.simhash_classes(frame(rows, extra=False)).collect()}
+    assert len(got) == 5100 and {got[k] for k in range(3000)} == {0} and {got[k] for k in range(3000, 5000)} == {3000} and len({got[k] for k in range(5000, 5100)}) == 100
