@@ -73,12 +73,13 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 
 def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with one state per task: make() builds the function that maps each record batch."""
+    """mapInArrow with one state per task: make() builds the function that maps each record batch; not called where there is none."""
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = make()
+        f = None
         for batch in batches:
+            f = f or make()
             yield f(batch)
 
     return df.mapInArrow(run, schema)
