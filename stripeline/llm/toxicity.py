@@ -19,8 +19,8 @@ empty table gives an empty result; without usable labels the lexicon is empty an
 from __future__ import annotations
 
 import math
-import re
 from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, stage
+from .common import map_rows, ship, stage
 
 #: At most so many labelled rows fit the lexicon and the calibration.
 MAX_LABELLED = 6000
@@ -178,23 +178,21 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> Lexi
     """Terms (word stems of 4 to 12 letters, and whole words) that G-squared ties to the label, weighted by log odds; then the calibration."""
     spark = docs.sparkSession
     rows = stage(labelled(docs, labels, bound), "toxicity-sample")
-    words = map_rows(rows.select("text", "toxic"), _stems, "toxic int, terms array<string>").cache()
-    try:
-        n = {r["toxic"]: r["n"] for r in words.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-        bad, good = n.get(1, 0), n.get(0, 0)
-        if not bad or not good:
-            return Lexicon({}, calibration=(math.log((bad + 0.5) / (good + 9.5)), 2.0, 1.0))
-        seen = words.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
-        odds = F.log((F.col("t") + 0.5) / (bad + 1)) - F.log((F.col("c") + 0.5) / (good + 1))
-        part = lambda k, of, rest: F.when(F.col(k) > 0, 2 * F.col(k) * F.log(F.col(k) / (of * (F.col("t") + F.col("c")) / rest))).otherwise(0.0)
-        g2 = part("t", F.lit(float(bad)), F.lit(float(bad + good))) + part("c", F.lit(float(good)), F.lit(float(bad + good)))
-        top = (
-            seen.where("t >= 3").select("term", "t", "c", odds.alias("w"), g2.alias("g2"))
-            .where((F.col("g2") >= MIN_G2) & (F.col("w") >= 2.5) & (F.col("c") <= 0.2 * F.col("t")))
-            .orderBy(F.desc("g2"), "term").limit(MAX_TERMS).collect()
-        )
-    finally:
-        words.unpersist()
+    ship(spark)
+    words = stage(rows.select("text", "toxic").mapInArrow(_stems, "toxic int, terms array<string>"), "toxicity-terms")
+    n = {r["toxic"]: r["n"] for r in words.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    bad, good = n.get(1, 0), n.get(0, 0)
+    if not bad or not good:
+        return Lexicon({}, calibration=(math.log((bad + 0.5) / (good + 9.5)), 2.0, 1.0))
+    seen = words.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+    odds = F.log((F.col("t") + 0.5) / (bad + 1)) - F.log((F.col("c") + 0.5) / (good + 1))
+    part = lambda k, of, rest: F.when(F.col(k) > 0, 2 * F.col(k) * F.log(F.col(k) / (of * (F.col("t") + F.col("c")) / rest))).otherwise(0.0)
+    g2 = part("t", F.lit(float(bad)), F.lit(float(bad + good))) + part("c", F.lit(float(good)), F.lit(float(bad + good)))
+    top = (
+        seen.where("t >= 3").select("term", "t", "c", odds.alias("w"), g2.alias("g2"))
+        .where((F.col("g2") >= MIN_G2) & (F.col("w") >= 2.5) & (F.col("c") <= 0.2 * F.col("t")))
+        .orderBy(F.desc("g2"), "term").limit(MAX_TERMS).collect()
+    )
     lexicon = Lexicon(reduced({r["term"]: (r["t"], r["w"]) for r in top}))
     lexicon.exceptions += exceptions(rows, lexicon)
     lexicon.forget()
@@ -234,18 +232,16 @@ def reduced(terms: dict[str, tuple[int, float]]) -> dict[str, float]:
     return {t: w for t, (_, w) in kept.items() if not any(x in kept for x in shorter(t))}
 
 
-def _stems():
-    word = re.compile(r"[^ ]+")
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for text in batch.column(0).to_pylist():
-            words = {w for w in word.findall(fold(text or "")) if len(w) >= min(STEMS)}
-            terms = {w[:k] for w in words for k in STEMS if len(w) >= k} | {w + " " for w in words}
-            out.append(pa.array([sorted(terms)], pa.list_(pa.string())))  # Arrow at once: smaller than Python's strings
-        return pa.RecordBatch.from_arrays([batch.column(1), pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.string()))], ["toxic", "terms"])
-
-    return run
+def _stems(batches: Iterator[pa.RecordBatch], each: int = 64) -> Iterator[pa.RecordBatch]:
+    """toxic and distinct terms of each text, in small batches, as a text has far more terms than letters."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, each):
+            part, out = batch.slice(k, each), []
+            for text in part.column(0).to_pylist():
+                words = {w for w in fold(text or "").split() if len(w) >= min(STEMS)}
+                terms = {w[:k] for w in words for k in STEMS if len(w) >= k} | {w + " " for w in words}
+                out.append(pa.array([sorted(terms)], pa.list_(pa.string())))  # Arrow at once: smaller than Python's strings
+            yield pa.RecordBatch.from_arrays([part.column(1), pa.concat_arrays(out)], ["toxic", "terms"])
 
 
 def _points(batch: pa.RecordBatch, lexicon: Lexicon) -> pa.RecordBatch:
