@@ -2,61 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import bucket_of, month_of, rendered, rounded_average
 from ..functions.values import compacted
-from ..operators.analyze import analyze, column_statistics, estimate
-from ..operators.pruning import Predicate, rows_scanned, stride_report
-from ..sources.footer import read_footer
 from ..sources.staging import made, orc_table, staged
 from ..sources.table import OrcTable
+from .registry import oracle_sql, queries, query, scan, simple, sql
 
-Query = Callable[[SparkSession, str], DataFrame]
-_queries: dict[str, Query] = {}
-_oracles: dict[str, str] = {}
-
-
-def query(oracle: str | None = None, name: str | None = None):
-    def take(f: Query) -> Query:
-        _queries[name or f.__name__] = f
-        if oracle:
-            _oracles[name or f.__name__] = oracle
-        return f
-
-    return take
-
-
-def queries() -> dict[str, Query]:
-    return dict(_queries)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_oracles)
-
-
-def scan(spark: SparkSession, d: str, name: str, columns: list[str] | None = None, **how) -> DataFrame:
-    return orc_table(spark, d, name, **how).scan(columns)
-
-
-def simple(name: str, table: str, oracle: str, make: Callable[[DataFrame], DataFrame], **how) -> None:
-    query(oracle, name)(lambda spark, d: make(scan(spark, d, table, **how)))
-
-
-def sql(name: str, text: str, oracle: str | None = None) -> None:
-    """The same text for Spark and DuckDB, unless the oracle is given; {x} names table x."""
-    import re
-
-    tables = sorted(set(re.findall(r"\{(\w+)\}", text)))
-
-    def run(spark: SparkSession, d: str) -> DataFrame:
-        return spark.sql(text, **{t: scan(spark, d, t) for t in tables})
-
-    query(oracle or re.sub(r"\{(\w+)\}", r"\1", text), name)(run)
-
+__all__ = ["oracle_sql", "queries"]
 
 # Scans, projections, counts
 
@@ -88,7 +43,10 @@ sql("filter_not", "SELECT o_orderkey FROM {orders} WHERE NOT (o_orderstatus = 'F
 sql("filter_in", "SELECT o_orderkey, o_orderpriority FROM {orders} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')")
 sql("filter_between", "SELECT l_orderkey, l_quantity FROM {lineitem} WHERE l_quantity BETWEEN 10 AND 12")
 sql("filter_like", "SELECT c_custkey, c_name FROM {customer} WHERE c_name LIKE '%7'")
-sql("filter_is_null", "SELECT event_id FROM {events} WHERE value IS NULL")
+sql(
+    "filter_is_null",
+    "SELECT e.event_id, u.c_custkey FROM {events} e LEFT JOIN {customer} u ON u.c_custkey = e.user_id + 10 AND u.c_acctbal > 5000 WHERE u.c_custkey IS NULL",
+)
 sql("filter_is_not_null", "SELECT event_id, value FROM {events} WHERE value IS NOT NULL")
 
 # Aggregation. Averages are exact decimals, rounded half up; DuckDB averages as doubles, so its side rounds in whole numbers.
@@ -121,6 +79,17 @@ sql("cube", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM {lineitem} GR
 sql("grouping_sets", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM {lineitem} GROUP BY GROUPING SETS ((l_returnflag), (l_linestatus))")
 
 
+@query("SELECT l_returnflag, true AS parts_near, true AS median_near, count(*) AS n FROM lineitem GROUP BY l_returnflag")
+def approximate(spark: SparkSession, d: str) -> DataFrame:
+    """Approximate distinct values and quantiles beside the exact ones: within a tenth, and within a rank of a hundredth."""
+    rows = scan(spark, d, "lineitem", ["l_returnflag", "l_partkey", "l_quantity"])
+    low, high = (F.percentile("l_quantity", F.lit(q)) for q in (0.49, 0.51))
+    median = F.percentile_approx("l_quantity", 0.5, 1000)
+    return rows.groupBy("l_returnflag").agg(
+        (F.abs(F.approx_count_distinct("l_partkey", 0.02) / F.count_distinct("l_partkey") - 1) < 0.1).alias("parts_near"), median.between(F.floor(low), F.ceil(high)).alias("median_near"), F.count("*").alias("n")
+    )
+
+
 @query("SELECT count(*) AS n, min(l_orderkey) AS least, max(l_orderkey) AS most FROM lineitem")
 def aggregate_from_metadata(spark: SparkSession, d: str) -> DataFrame:
     """count, least and greatest from the files' own statistics: a session of its own reads ORC through the source that pushes aggregates down."""
@@ -138,7 +107,7 @@ sql("join_left", "SELECT c_custkey, o_orderkey FROM {customer} LEFT JOIN {orders
 sql("join_right", "SELECT o_orderkey, c_custkey FROM {orders} RIGHT JOIN {customer} ON o_custkey = c_custkey AND o_orderstatus = 'P'")
 sql("join_full", "SELECT s_suppkey, n_name FROM {supplier} FULL JOIN {nation} ON s_nationkey = n_nationkey AND s_acctbal > 5000")
 sql("join_semi", "SELECT c_custkey FROM {customer} WHERE EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
-sql("join_anti", "SELECT c_custkey FROM {customer} WHERE NOT EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey)")
+sql("join_anti", "SELECT c_custkey FROM {customer} WHERE NOT EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey AND o_totalprice > 450000)")
 sql("join_in", "SELECT s_suppkey FROM {supplier} WHERE s_nationkey IN (SELECT n_nationkey FROM {nation} WHERE n_regionkey = 1)")
 sql("join_theta", "SELECT a.n_nationkey AS a, b.n_nationkey AS b FROM {nation} a JOIN {nation} b ON a.n_nationkey < b.n_nationkey")
 sql("join_cross", "SELECT r_regionkey, n_nationkey FROM {region} CROSS JOIN {nation}")
@@ -163,6 +132,25 @@ def join_broadcast(spark: SparkSession, d: str) -> DataFrame:
 sql("window_rank", "SELECT p_partkey, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS BIGINT) AS nth, CAST(rank() OVER (PARTITION BY p_brand ORDER BY p_size) AS BIGINT) AS rank, CAST(dense_rank() OVER (PARTITION BY p_brand ORDER BY p_size) AS BIGINT) AS dense, CAST(ntile(4) OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS BIGINT) AS quarter FROM {part}")
 sql("window_lag_lead", "SELECT o_orderkey, lag(o_orderkey) OVER w AS before, lead(o_orderkey) OVER w AS after, first_value(o_orderkey) OVER w AS first FROM {orders} WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)")
 sql("window_frame", "SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near, max(l_quantity) OVER (PARTITION BY l_orderkey) AS most FROM {lineitem}")
+sql(
+    "window_last",
+    """
+    SELECT o_orderkey, last_value(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last,
+           last_value(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS soon,
+           nth_value(o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second,
+           percent_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS share, cume_dist() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS upto
+    FROM {orders}
+    """,
+)
+sql(
+    "window_range",
+    """
+    SELECT p_partkey, count(*) OVER (PARTITION BY p_brand ORDER BY p_size RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS near,
+           max(p_retailprice) OVER (PARTITION BY p_brand ORDER BY p_size RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS most,
+           min(p_retailprice) OVER (PARTITION BY p_brand ORDER BY p_size RANGE BETWEEN CURRENT ROW AND 3 FOLLOWING) AS least
+    FROM {part}
+    """,
+)
 sql("order_by", "SELECT o_orderkey, o_totalprice FROM {orders} ORDER BY o_totalprice DESC, o_orderkey")
 sql("topk", "SELECT o_orderkey, o_totalprice FROM {orders} ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
 sql("offset", "SELECT o_orderkey FROM {orders} ORDER BY o_orderkey LIMIT 10 OFFSET 25")
@@ -170,7 +158,7 @@ sql("union_all", "SELECT n_nationkey AS k FROM {nation} UNION ALL SELECT r_regio
 sql("union_distinct", "SELECT n_regionkey AS k FROM {nation} UNION SELECT r_regionkey AS k FROM {region}")
 sql("intersect", "SELECT c_nationkey AS k FROM {customer} INTERSECT SELECT s_nationkey AS k FROM {supplier}")
 sql("intersect_all", "SELECT c_nationkey AS k FROM {customer} INTERSECT ALL SELECT s_nationkey AS k FROM {supplier}")
-sql("except", "SELECT c_custkey AS k FROM {customer} EXCEPT SELECT o_custkey AS k FROM {orders}")
+sql("except", "SELECT c_custkey AS k FROM {customer} EXCEPT SELECT o_custkey AS k FROM {orders} WHERE o_totalprice > 450000")
 sql("except_all", "SELECT c_nationkey AS k FROM {customer} EXCEPT ALL SELECT s_nationkey AS k FROM {supplier}")
 sql("cte", "WITH big AS (SELECT o_custkey, count(*) AS n FROM {orders} GROUP BY o_custkey) SELECT n, count(*) AS customers FROM big GROUP BY n")
 sql("subquery_scalar", "SELECT o_orderkey FROM {orders} WHERE o_totalprice = (SELECT max(o_totalprice) FROM {orders})")
@@ -240,51 +228,4 @@ for _n, _what, _oracle in (
 ):
     query(_what.replace("{bigrow}", _BIGROW_SQL + " b"), f"bigrow_{_n}")(lambda spark, d, text=_what: spark.sql(text, bigrow=bigrow(spark).scan()))
 
-# Metadata, skipping, statistics
-
-
-@query()
-def footer_meta(spark: SparkSession, d: str) -> DataFrame:
-    rows = [(m.version, m.codec, m.stride, m.rows, len(m.stripes), len(m.columns)) for m in (read_footer(spark, p) for p, _ in orc_table(spark, d, "lineitem").files())]
-    return spark.createDataFrame(rows, "version string, codec string, stride int, rows long, stripes int, columns int")
-
-
-@query()
-def stride_skip_report(spark: SparkSession, d: str) -> DataFrame:
-    return stride_report(orc_table(spark, d, "orders", stride=1000), [Predicate("o_orderkey", "<", 500)]).groupBy("kept").agg(F.count("*").alias("strides"), F.sum("rows").alias("rows"))
-
-
-@query("SELECT count(*) AS wanted, count(*) AS scanned FROM (SELECT 1 WHERE (SELECT count(*) FROM orders) < 0)")
-def skip_all_scanned(spark: SparkSession, d: str) -> DataFrame:
-    """An impossible bound reads no row: rows wanted and rows that the scan gave."""
-    rows = scan(spark, d, "orders", stride=1000).where("o_orderkey < -1")
-    return spark.createDataFrame([(rows.count(), rows_scanned(rows))], "wanted long, scanned long")
-
-
-@query()
-def explain_props(spark: SparkSession, d: str) -> DataFrame:
-    from .explain import explain_properties
-
-    return spark.createDataFrame(list(explain_properties(orc_table(spark, d, "orders")).items()), "property string, value string")
-
-
-@query()
-def analyze_sample(spark: SparkSession, d: str) -> DataFrame:
-    return analyze(orc_table(spark, d, "orders"), 100)[0]
-
-
-@query("SELECT count(*) AS total, least(count(*), 300) AS sampled, 0 AS dead FROM orders")
-def analyze_rowcount(spark: SparkSession, d: str) -> DataFrame:
-    rows, total, dead = analyze(orc_table(spark, d, "orders"), 300)
-    return rows.agg(F.lit(total).cast("long").alias("total"), F.count("*").alias("sampled"), F.lit(dead).alias("dead"))
-
-
-@query()
-def analyze_columns(spark: SparkSession, d: str) -> DataFrame:
-    return column_statistics(scan(spark, d, "orders"))
-
-
-@query()
-def estimate_rows(spark: SparkSession, d: str) -> DataFrame:
-    e = estimate(orc_table(spark, d, "orders"))
-    return spark.createDataFrame([(e.pages, float(e.rows), float(e.total_cost))], "pages long, rows double, cost double")
+from . import files, metadata, scalars, streams  # noqa: E402, F401  (they register their queries)

@@ -26,9 +26,13 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; set here only if it is unset (tests)."""
+    """``spark.checkpoint.dir``; set here only if it is unset and the executors run in this process (tests). On a cluster a
+    folder of this machine would be another one on each executor, so there it has to be set."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="stripeline-shared-")
         atexit.register(shutil.rmtree, path.removeprefix("file://"), True)
         spark.conf.set("spark.checkpoint.dir", path)

@@ -88,6 +88,37 @@ def read_footer(spark: SparkSession, path: str) -> FileMeta:
     return FileMeta(path, reader.getContentLength(), reader.getFileVersion().getName(), reader.getCompressionKind().toString(), reader.getRowIndexStride(), reader.getNumberOfRows(), tuple(columns), stripes, reader.getWriterVersion().toString())
 
 
+#: So many files are held against the first one by one, in threads; of more, types and further columns are compared in tasks.
+FEW_FILES = 5000
+
+
+def odd_file(spark: SparkSession, files: list[tuple[str, int]]) -> tuple[str, str] | None:
+    """The first file whose columns aren't the first file's, by order, name and type, and what they are; None: all are alike.
+
+    Over FEW_FILES files: whether Spark's own merging of all footers, which runs as a job, finds other columns or types."""
+    if len(files) < 2:
+        return None
+    first = spark.read.orc(files[0][0]).schema
+    if len(files) > FEW_FILES:
+        try:
+            merged = spark.read.option("mergeSchema", "true").orc([p for p, _ in files]).schema
+        except Exception as e:
+            if "MERGE" not in str(e).upper():
+                raise
+            return "of the folder", "types differ"
+        return None if merged == first else ("of the folder", merged.simpleString())
+    jvm, conf = spark.sparkContext._jvm, _conf(spark)
+    paths = [jvm.org.apache.hadoop.fs.Path(p) for p, _ in files]
+    statuses = jvm.PythonUtils.toSeq([p.getFileSystem(conf).getFileStatus(p) for p in paths])
+    found = jvm.org.apache.spark.sql.execution.datasources.orc.OrcUtils.readOrcSchemasInParallel(statuses, conf, False)
+    if found.size() == len(files) and found.distinct().size() == 1:
+        return None
+    for k in range(found.size()):
+        if found.apply(k) != found.apply(0):
+            return files[k][0], found.apply(k).catalogString()
+    return files[-1][0], "no columns"
+
+
 def _bounds(s) -> tuple[Any, Any] | None:
     for has, get in ((s.hasIntStatistics, s.getIntStatistics), (s.hasDoubleStatistics, s.getDoubleStatistics), (s.hasStringStatistics, s.getStringStatistics), (s.hasDateStatistics, s.getDateStatistics)):
         if has():

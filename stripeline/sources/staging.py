@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,12 +14,16 @@ from .table import OrcTable, write_orc
 _staged: dict[tuple, str] = {}
 
 
-def made(spark: SparkSession, key: tuple, rows: Callable[[], DataFrame], codec: str = "zlib", stride: int = 10_000) -> str:
-    """Path of rows() as ORC, written on first use."""
+def made(spark: SparkSession, key: tuple, rows: Callable[[], Any], codec: str = "zlib", stride: int = 10_000, write: Callable[[Any, str], Any] | None = None) -> str:
+    """Path of rows() as ORC, written on first use; or of what write(rows(), path) makes there."""
     key = (spark.sparkContext.applicationId, *key, codec, stride)
     if key not in _staged:
         path = f"{shared_dir(spark).rstrip('/')}/orc-{uuid.uuid4().hex}"
-        _staged[key] = write_orc(rows(), path, codec, stride)
+        if write:
+            write(rows(), path)
+        else:
+            write_orc(rows(), path, codec, stride)
+        _staged[key] = path
     return _staged[key]
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import char_equal, converted
-from .footer import FileMeta, data_files, read_footer
+from .footer import FileMeta, data_files, odd_file, read_footer
 from .types import COMPLEX, Declared
 
 #: Options by where they may stand.
@@ -100,13 +100,17 @@ class OrcTable:
         return found
 
     def meta(self) -> FileMeta:
-        """Of the first file."""
+        """Of the first file, to which all others are held: the same columns in the same order, with the same types."""
         try:
-            meta = read_footer(self.spark, self.files()[0][0])
+            files = self.files()
+            meta = read_footer(self.spark, files[0][0])
+            other = odd_file(self.spark, files)
         except TableError:
             raise
         except Exception as e:
             raise TableError(f"Error reading file {self.path}: it is no ORC file") from e
+        if other:
+            raise TableError(f"Error reading file {other[0]}: its columns aren't those of {files[0][0]}: {other[1]}")
         if self.options.get("strict_version", "false") == "true" and meta.version != FIRST_VERSION:
             raise TableError(f"Unsupported file version {meta.version}, only {FIRST_VERSION} is read")
         return meta
@@ -166,3 +170,10 @@ def write_orc(rows: DataFrame, path: str, codec: str = "zlib", stride: int = 10_
     out = rows.select(*kept).write.mode(mode).option("compression", codec).option("orc.row.index.stride", str(stride)).options(**options)
     (out.partitionBy(*partition_by) if partition_by else out).orc(path)
     return path
+
+
+def csv_to_orc(spark: SparkSession, source: str, path: str, columns: list[tuple[str, str]], header: bool = True, **options: str) -> str:
+    """Text files with the declared columns, in this order, as ORC. A line that doesn't fit the declared types fails the job, unless options say otherwise."""
+    schema = ", ".join(f"`{c}` {Declared.parse(t).spark}" for c, t in columns)
+    rows = spark.read.schema(schema).options(**({"header": str(header).lower(), "mode": "FAILFAST", "enforceSchema": "true"} | options)).csv(source)
+    return write_orc(rows, path)

@@ -1,5 +1,5 @@
 """Declared tables as streams."""
 
-from .windows import late_tolerant_counts
+from .windows import finished, late_tolerant_counts, running_totals, sessions
 
-__all__ = ["late_tolerant_counts"]
+__all__ = ["finished", "late_tolerant_counts", "running_totals", "sessions"]

@@ -113,3 +113,42 @@ def test_aggregates_from_statistics(spark, sf):
 
     plan = aggregate_from_metadata(spark, sf)._jdf.queryExecution().toString()
     assert "PushedAggregation: [COUNT(*), MIN(l_orderkey), MAX(l_orderkey)]" in plan
+
+
+def test_reports_of_many_files_name_some(numbers, monkeypatch):
+    from stripeline.operators import pruning
+
+    monkeypatch.setattr(pruning, "MOST_FILES", 0)
+    with pytest.raises(ValueError, match="at most"):
+        stride_report(numbers, [Predicate("i", "=", 500)])
+    monkeypatch.undo()
+    first = numbers.files()[0][0]
+    assert stride_report(numbers, [Predicate("i", "=", 500)], [first]).count() == 20
+
+
+def test_late_rows_and_sliding_windows(spark, tmp_path):
+    """Files one by one: rows older than the watermark are left out, sessions are closed by it."""
+    from stripeline.streaming import finished, late_tolerant_counts, running_totals, sessions
+
+    def put(k, *minutes):
+        rows = spark.createDataFrame([(m, f"2024-01-01 {m // 60:02d}:{m % 60:02d}:00") for m in minutes], "n long, t string").selectExpr("n", "CAST(t AS TIMESTAMP_NTZ) AS t")
+        write_orc(rows.coalesce(1), f"file://{tmp_path}/in/{k}")
+
+    put(0, 5, 8, 20)
+    put(1, 300, 305)
+    put(2, 301)
+    put(3, 9)  # over an hour late when the watermark of two files before is known
+    t = OrcTable(spark, "s", [("n", "INT8"), ("at", "TIMESTAMP")], {"filename": f"file://{tmp_path}/in/*"})
+    stream = lambda: t.stream(["n", "at"], maxFilesPerTrigger="1")
+    minute = lambda r: r.start.hour * 60 + r.start.minute
+    last = {}
+    for r in sorted(finished(late_tolerant_counts(stream(), "at", [], "10 minutes", "1 hour", "5 minutes"), "slide", "update").collect(), key=lambda r: r._batch):
+        last[minute(r)] = r["rows"]
+    assert last == {0: 2, 5: 2, 15: 1, 20: 1, 295: 2, 300: 3, 305: 1}
+    whole = finished(late_tolerant_counts(stream(), "at", [], "10 minutes", "1 hour", "5 minutes"), "slide")
+    assert {minute(r): r["rows"] for r in whole.collect()} == last | {0: 3, 5: 3}  # the complete result keeps all state, so nothing is late
+    closed = finished(sessions(stream().selectExpr("at", "'x' AS k"), "at", ["k"], "10 minutes", "1 hour"), "sess", "append")
+    assert sorted((minute(r), r["rows"]) for r in closed.collect()) == [(5, 2), (20, 1)]
+    totals = finished(running_totals(stream().selectExpr("n % 2 AS k", "n"), "k", "n"), "tot", "update").collect()
+    last = {r.k: max((x for x in totals if x.k == r.k), key=lambda x: x._batch) for r in totals}
+    assert (last[0]["rows"], last[1]["rows"]) == (3, 4) and last[0].most == 300

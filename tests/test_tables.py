@@ -184,3 +184,57 @@ def test_rounded_average(spark):
     got = dict(map(tuple, rows.groupBy("k").agg(rounded_average(F.col("v"), 0).alias("a")).collect()))
     assert got == {1: 2.0, 2: -2.0, 3: 0.0, 4: None, 5: 5.0, 6: 29.0}
     assert rows.where("k = 6").agg(rounded_average(F.col("v")).alias("a")).first().a == 29.31  # 29.31496
+
+
+def test_every_file_is_held_to_the_first(spark, tmp_path):
+    """A second file of other types, order or number of columns, in a folder that is read as one table."""
+    columns = [("id", "INT8"), ("s", "TEXT")]
+    for k, (rows, fits) in enumerate({"id, cast(id AS string) AS s": True, "cast(id AS int) AS id, cast(id AS string) AS s": False, "cast(id AS string) AS s, id": False, "id": False, "id, cast(id AS string) AS s, id AS more": False}.items()):
+        folder = f"file://{tmp_path}/{k}"
+        write_orc(spark.range(3).selectExpr("id", "cast(id AS string) AS s").coalesce(1), f"{folder}/a")
+        write_orc(spark.range(3).selectExpr(*rows.split(", ")).coalesce(1), f"{folder}/b")
+        t = OrcTable(spark, "t", columns, {"filename": f"{folder}/*"})
+        if fits:
+            assert t.scan().count() == 6
+        else:
+            with pytest.raises(TableError, match="its columns aren't those of"):
+                t.scan()
+
+
+def test_many_files_are_compared_in_tasks(spark, tmp_path, monkeypatch):
+    from stripeline.sources import footer
+
+    monkeypatch.setattr(footer, "FEW_FILES", 1)
+    folder = f"file://{tmp_path}/x"
+    for k, kind in enumerate(("bigint", "bigint", "string")):
+        files = [(p, n) for p, n in footer.data_files(spark, folder)]
+        assert footer.odd_file(spark, files) is None
+        write_orc(spark.range(3).selectExpr(f"cast(id AS {kind}) AS id").coalesce(1), f"{folder}/{k}")
+    assert footer.odd_file(spark, footer.data_files(spark, folder)) is not None
+
+
+def test_shared_folder_has_to_be_set_on_a_cluster():
+    from types import SimpleNamespace
+
+    from stripeline.session import shared_dir
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        context = SimpleNamespace(master=master, getConf=lambda: {})
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(SimpleNamespace(conf={}, sparkContext=context))
+
+
+def test_text_that_does_not_fit(spark, tmp_path):
+    from stripeline.sources.table import csv_to_orc
+
+    (tmp_path / "x.csv").write_text("id,s\n1,a\nnope,b\n")
+    with pytest.raises(Exception, match="nope"):
+        csv_to_orc(spark, f"file://{tmp_path}/x.csv", f"file://{tmp_path}/out", [("id", "INT8"), ("s", "TEXT")])
+    path = csv_to_orc(spark, f"file://{tmp_path}/x.csv", f"file://{tmp_path}/lenient", [("id", "INT8"), ("s", "TEXT")], mode="DROPMALFORMED")
+    assert [tuple(r) for r in OrcTable(spark, "t", [("id", "INT8"), ("s", "TEXT")], {"filename": path}).scan().collect()] == [(1, "a")]
+
+
+def test_partitioned_folders_are_pruned(spark, tmp_path):
+    path = write_orc(spark.range(30).selectExpr("id", "id % 3 AS part"), f"file://{tmp_path}/p", partition_by=["part"])
+    rows = spark.read.orc(path).where("part = 1")
+    assert rows.count() == 10 and "PartitionFilters: [isnotnull(part" in rows._jdf.queryExecution().toString()
