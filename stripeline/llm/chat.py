@@ -1,7 +1,7 @@
 """Chat formatting with Spark expressions only.
 
 Turns of a conversation are collected as structs and sorted, adjacent turns of one role are merged to a block by array
-aggregation, and blocks are joined to the formatted text:
+functions, and blocks are joined to the formatted text, in time linear in turns and text:
 
     ### role
     text</turn>text</turn>
@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import bound, cut, pieces, running
+
 HEAD, END, SPEAKS = "### ", "</turn>", "assistant"
 
 
@@ -48,33 +50,26 @@ def formatted(turns: DataFrame) -> DataFrame:
         ).alias("own"),
     )
     sorted_ = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("own")).alias("own"))
-    block = lambda t: F.struct(t["role"].alias("role"), t["speaks"].alias("speaks"), F.array(t["text"]).alias("texts"))
-    none = F.filter(F.transform("own", block), lambda b: F.lit(False))
+    # A block goes from a turn whose role isn't that of the turn before up to the next such turn: slices, so work is linear in turns.
+    fresh = lambda t, k: (k == 0) | (F.get("own", k - 1)["role"] != t["role"])
+    at = F.filter(F.transform("own", lambda t, k: F.when(fresh(t, k), k)), lambda k: k.isNotNull())
+    sorted_ = sorted_.select("conv_id", "own", F.concat(at, F.array(F.size("own"))).alias("at"))
 
-    def merge(blocks: Column, t: Column) -> Column:
-        last = F.element_at(blocks, -1)
-        grown = F.struct(last["role"].alias("role"), last["speaks"].alias("speaks"), F.concat(last["texts"], F.array(t["text"])).alias("texts"))
-        same = (F.size(blocks) > 0) & (F.try_element_at(blocks, F.lit(-1))["role"] == t["role"])
-        return F.when(same, F.concat(F.slice(blocks, 1, F.greatest(F.size(blocks) - 1, F.lit(0))), F.array(grown))).otherwise(F.concat(blocks, F.array(block(t))))
+    def block(first: Column, k: Column) -> Column:
+        turns = F.slice("own", first + 1, F.get("at", k + 1) - first)
+        texts = F.transform(turns, lambda t: t["text"])
+        return F.struct(F.get("own", first)["role"].alias("role"), F.get("own", first)["speaks"].alias("speaks"), texts.alias("texts"))
 
-    merged = sorted_.select("conv_id", F.aggregate("own", none, merge).alias("blocks"))
+    merged = sorted_.select("conv_id", F.transform(F.slice("at", F.lit(1), F.size("at") - 1), block).alias("blocks"))
     whole = F.array_join(F.transform("blocks", lambda b: F.concat(F.lit(HEAD), b["role"], F.lit("\n"), F.array_join(b["texts"], END), F.lit(END + "\n"))), "")
-    # Positions: each block moves by its head and end, each text by itself and its mark.
-    empty = F.filter(F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"))), lambda s: F.lit(False))
-    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
-
-    def spans(state: Column, b: Column) -> Column:
-        first = state["at"] + F.length(b["role"]) + len(HEAD) + 1
-        inner = F.aggregate(
-            b["texts"], F.struct(first.alias("at"), state["spans"].alias("spans")),
-            lambda s, t: F.struct(
-                (s["at"] + F.length(t) + len(END)).alias("at"),
-                F.when(b["speaks"], F.concat(s["spans"], F.array(F.struct(s["at"].alias("start"), (s["at"] + F.length(t)).alias("end"))))).otherwise(s["spans"]).alias("spans"),
-            ),
-        )
-        return F.struct((inner["at"] + 1).alias("at"), inner["spans"].alias("spans"))
-
-    return merged.select("conv_id", whole.alias("formatted"), F.aggregate("blocks", start, spans)["spans"].alias("loss"))
+    # Positions: texts end where running sums of their lengths and marks say; a block's head goes before its first text, its line feed after its last.
+    size = lambda x: F.length(x).cast("long")
+    ends = lambda b: F.transform(b["texts"], lambda t, k: size(t) + len(END) + F.when(k == 0, size(b["role"]) + len(HEAD) + 1).otherwise(0))
+    sums = running(F.flatten(F.transform("blocks", ends)))
+    texts = F.flatten(F.transform("blocks", lambda b, n: F.transform(b["texts"], lambda t: F.struct(size(t).alias("size"), b["speaks"].alias("speaks"), n.cast("long").alias("before")))))
+    placed = F.zip_with(texts, sums, lambda t, end: F.struct((end + t["before"] - len(END) - t["size"]).alias("start"), (end + t["before"] - len(END)).alias("end"), t["speaks"].alias("speaks")))
+    loss = F.transform(F.filter(placed, lambda s: s["speaks"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    return merged.select("conv_id", whole.alias("formatted"), loss.alias("loss"))
 
 
 def parsed(chats: DataFrame) -> DataFrame:
@@ -87,7 +82,7 @@ def parsed(chats: DataFrame) -> DataFrame:
         texts = F.split(F.substring(b, cut + 1, F.length(b)), END)
         return F.transform(F.slice(texts, 1, F.size(texts) - 1), lambda t: F.struct(role.alias("role"), unescaped(t).alias("text")))
 
-    loss = F.transform("loss", lambda s: unescaped(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))))
+    loss = bound(pieces(F.col("formatted")), lambda parts: F.transform("loss", lambda s: unescaped(cut(parts, s["start"], s["end"] - s["start"]))))
     return chats.select("conv_id", F.flatten(F.transform(blocks, turns)).alias("turns"), loss.alias("loss_texts"), "formatted", "loss")
 
 

@@ -22,11 +22,12 @@ from __future__ import annotations
 
 import math
 import string
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import bound, running
+
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
@@ -52,29 +53,8 @@ ALLOW = (
 )
 #: Candidates that are spans of a pattern as they stand.
 COVERED = r"^(?:AKIA[A-Z0-9]{16,}|[0-9a-f]{24,})$"
-#: Running sums are made in blocks of so many; a long candidate is looked at in pieces of so many characters.
-BLOCK, PIECE = 256, 4096
-
-
-def bound(x: Column, f: Callable[[Column], Column]) -> Column:
-    """f(x), with x computed once however often f uses it."""
-    return F.element_at(F.transform(F.array(x), f), 1)
-
-
-def running(sizes: Column) -> Column:
-    """The sums of an array of longs up to each item, in blocks: each block's own sums, then what lies before it."""
-    none = F.array().cast("array<long>")
-    inside = lambda block: F.aggregate(block, none, lambda own, n: F.concat(own, F.array(F.coalesce(F.try_element_at(own, F.lit(-1)), F.lit(0).cast("long")) + n)))
-    cut = lambda xs: F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / BLOCK).cast("int")), lambda b: inside(F.slice(xs, b * BLOCK + 1, F.lit(BLOCK))))
-
-    def joined_up(blocks: Column) -> Column:
-        def after(totals: Column) -> Column:
-            before = lambda k: F.aggregate(F.slice(totals, F.lit(1), k), F.lit(0).cast("long"), lambda sum_, n: sum_ + n)
-            return F.flatten(F.transform(blocks, lambda own, k: bound(before(k), lambda more: F.transform(own, lambda v: v + more))))
-
-        return bound(F.transform(blocks, lambda own: F.element_at(own, -1)), after)
-
-    return bound(sizes, lambda xs: F.when(F.size(xs) > 0, bound(cut(xs), joined_up)).otherwise(none))
+#: A long candidate is looked at in pieces of so many characters.
+PIECE = 4096
 
 
 def matches(text: Column, pattern: str) -> Column:

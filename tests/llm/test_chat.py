@@ -60,3 +60,27 @@ def test_whole_table(spark, sf):
     check(spark, rows)
     got = {r.conv_id: r for r in queries.op10_chat(spark, sf).collect()}
     assert got[-7].n_turns == 2 and got[-7].loss_chars == len("\\### Assistant: </turn> ok") and len(got) == len({r[0] for r in rows}) + 1
+
+
+def test_many_turns(spark):
+    """Tens of thousands of turns in one conversation, of one role and of two: work is linear in them."""
+    import time
+
+    one = [(1, k, "user" if k % 1000 else "assistant", f"turn {k} ### \\") for k in range(30_000)]
+    two = [(2, k, ("user", "assistant")[k % 2], f"said {k}</turn>") for k in range(30_000)]
+    began = time.perf_counter()
+    check(spark, one + two)
+    assert time.perf_counter() - began < 90
+
+
+def test_cuts_of_pieces(spark):
+    from pyspark.sql import functions as F
+
+    from stripeline.llm import arrays
+
+    text = "".join(chr(97 + k % 26) if k % 7 else "\U0001f600" for k in range(3 * arrays.PIECE + 5))
+    n = arrays.PIECE
+    places = [(0, 0), (0, 1), (n - 1, 1), (n - 1, 2), (n, n), (5, 2 * n + 3), (3 * n, 5), (0, len(text)), (len(text), 0)]
+    df = spark.createDataFrame([(text, a, k) for a, k in places], "t string, a long, k long")
+    got = df.select("a", "k", arrays.cut(arrays.pieces(F.col("t")), F.col("a"), F.col("k")).alias("x")).collect()
+    assert all(r.x == text[r.a : r.a + r.k] for r in got)
