@@ -9,8 +9,8 @@ parts the labelled rows best, where a wrongly rejected document counts ``CAUTION
 of the ratios the forest sees is calibrated as well: each choice is fitted on one half of the labelled rows and
 judged on the other, as a ratio that is odd in good documents too only costs.
 
-Forest and threshold are fitted on at most ``MAX_SAMPLE`` labelled rows, those with the smallest hash of their id;
-the statistics and verdicts cover every whole text.
+Forest and threshold are fitted on at most ``MAX_SAMPLE`` labelled rows, those with the smallest hash of their id (of rows with
+one id the one with the least statistics); the statistics and verdicts cover every whole text.
 
 Defined cases: null, empty and blank texts have no words and fail the hard rule; null ids and repeated rows stay; an
 empty table gives an empty result; without labelled rows of both kinds only the hard rules decide.
@@ -32,6 +32,8 @@ from .common import as_bytes, map_rows
 
 WINDOW = 5
 MIN_WORDS = 10
+#: Texts of more words are looked at as arrays of numbers.
+FEW_WORDS = 100_000
 MAX_REPEATED = 20  # per cent
 SYMBOLS = b"#*$%&|<>"
 #: At most so many labelled rows fit the forest and its threshold.
@@ -56,16 +58,36 @@ def statistics(text: bytes) -> tuple[int, int, int, int, int]:
             if line in seen:
                 dup += bool(line.split())
             seen.add(line)
-    repeated = 0
-    if n > WINDOW:
-        windows = list(zip(*(words[k:] for k in range(WINDOW)), strict=False))
-        if len(set(windows)) < len(windows):
-            counts, until = Counter(windows), 0
-            for k, w in enumerate(windows):
-                if counts[w] > 1:
-                    repeated += k + WINDOW - max(k, until)
-                    until = k + WINDOW
-    return n, chars, symbols, dup, repeated
+    return n, chars, symbols, dup, repeated_words(words) if n > WINDOW else 0
+
+
+def repeated_words(words: list[bytes]) -> int:
+    """Words in windows of WINDOW words that are found twice or more."""
+    if len(words) > FEW_WORDS:  # as numbers: a tuple for each window of a very long text would take too much memory
+        return repeated_in(words)
+    windows = list(zip(*(words[k:] for k in range(WINDOW)), strict=False))
+    if len(set(windows)) == len(windows):
+        return 0
+    counts, until, repeated = Counter(windows), 0, 0
+    for k, w in enumerate(windows):
+        if counts[w] > 1:
+            repeated += k + WINDOW - max(k, until)
+            until = k + WINDOW
+    return repeated
+
+
+def repeated_in(words: list[bytes]) -> int:
+    """The same with arrays: equal windows get equal numbers, which grow by a word at a time."""
+    known: dict[bytes, int] = {}
+    one = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
+    window = one
+    for k in range(1, WINDOW):
+        window = np.unique(window[:-1] * len(known) + one[k:], return_inverse=True)[1]
+    twice = np.bincount(window)[window] > 1
+    edges = np.zeros(len(words) + 1, np.int64)
+    edges[: len(twice)] += twice
+    edges[WINDOW : WINDOW + len(twice)] -= twice
+    return int((np.cumsum(edges) > 0).sum())
 
 
 def failed(n_words: int, n_repeat_words: int) -> bool:
@@ -192,7 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = MAX_SAMPLE) -> Forest:
         .groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     )
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # bound rows of two numbers
-    sample = sorted(tuple(r) for r in with_statistics(rows, "doc_id", "quality").collect())  # bound rows of numbers
+    found = with_statistics(rows, "doc_id", "quality").groupBy("doc_id", "quality").agg(F.min(F.struct(*STATS)).alias("own"))  # however often an id is there
+    sample = sorted(tuple(r) for r in found.select("doc_id", "quality", "own.*").collect())  # bound rows of numbers
     stats = np.array([r[2:] for r in sample], np.int64).reshape(-1, len(STATS))
     good = np.array([r[1] == 1 for r in sample], bool)
     open_ = np.array([not failed(s[0], s[4]) for s in stats.tolist()], bool)

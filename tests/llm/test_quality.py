@@ -67,3 +67,48 @@ def test_odd_rows(frame, labels, odd_rows):
 def test_no_labels(frame, labels, odd_rows):
     got = ql.quality(frame(odd_rows), labels([(1, None, 0), (None, 1, 1)])).collect()
     assert all(r.kept == (not r.base_failed) for r in got)
+
+
+def test_scores_are_those_of_walks_down_the_trees(frame, labels):
+    """Each row by itself, down every tree, with the path lengths' formula written out."""
+    rows, marks = corpus()
+    forest = ql.fit(frame(rows), labels(marks))
+    stats = np.array([ql.statistics(t.encode()) for _, t in rows], np.int64)
+    x = ql.ratios(stats)
+    for k, s in enumerate(stats):
+        n = max(s[0], 1)
+        assert np.allclose(x[k], [s[1] / n, np.log(1 + 100 * s[2] / n), s[3] / n, s[4] / n])
+    n = forest.size
+    expected = 2 * (np.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
+    for row, score in zip(x, forest.score(x), strict=True):
+        total = 0.0
+        for feature, cut, left, path in forest.trees:
+            at = 0
+            while feature[at] >= 0:
+                at = left[at] + int(row[forest.uses[feature[at]]] >= cut[at])
+            total += path[at]
+        assert abs(2 ** (-total / len(forest.trees) / expected) - score) < 1e-12
+
+
+def test_verdicts_are_the_rules_and_the_threshold(frame, labels):
+    rows, marks = corpus()
+    forest = ql.fit(frame(rows), labels(marks))
+    for r in ql.verdicts(frame(rows), forest).collect():
+        assert r.kept == (not r.base_failed and r.anomaly <= forest.threshold)
+
+
+def test_very_long_texts(monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abc") for _ in range(n)) for n in (6, 20, 400)] + [" ".join(str(k % 500) for k in range(3000)), " ".join(map(str, range(3000)))]
+    want = [ql.statistics(t.encode()) for t in texts]
+    monkeypatch.setattr(ql, "FEW_WORDS", 0)
+    assert [ql.statistics(t.encode()) for t in texts] == want == [plain(t) for t in texts]
+    monkeypatch.undo()
+    assert ql.statistics((" ".join(str(k % 1000) for k in range(10**6))).encode())[4] == 10**6
+
+
+def test_repeated_ids_give_one_labelled_row(frame, labels):
+    rows, marks = corpus()
+    docs = frame(rows)
+    many = docs.union(frame([(1, f"copy {k} " * 20) for k in range(3000)]))
+    assert len(ql.fit(docs, labels(marks)).trees) == len(ql.fit(many, labels(marks)).trees) == ql.TREES
