@@ -9,7 +9,8 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
@@ -66,6 +67,20 @@ def partitions(df: DataFrame, grows: float = 1.0, each: int = 64 << 20) -> int:
     return max(least, min(1 << 20, int(size * grows / each)) if size < 1 << 60 else 0)
 
 
+#: A value that over a HOT-th of all rows have is joined by broadcast: there are fewer than HOT such values.
+HOT = 1000
+
+
+def join_by(rows: DataFrame, one: DataFrame, on: list[str], hot: Column, few: bool = False) -> DataFrame:
+    """rows joined to the table one, which has one row for each value of on. The rows of hot values stay where they are, as
+    their rows of one are broadcast; the others meet by shuffle. few: the whole of one is small, by a bound that the caller states."""
+    if few:
+        return rows.join(F.broadcast(one), on)
+    most = one.where(hot)
+    rest = rows.join(F.broadcast(most.select(*on)), on, "left_anti").join(one.where(~hot), on)
+    return rows.join(F.broadcast(most), on).unionByName(rest)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -100,3 +100,31 @@ def test_odd_rows(spark, frame, odd_rows):
     assert len({r._epoch for r in half if r._row.doc_id == 7}) * 2 == len([r for r in half if r._row.doc_id == 7])  # repeated rows go together
     nulls = docs_of(spark, [(1, "a b", None, None, 1, ""), (None, "c d", None, None, 1, ""), (None, None, "en", "src1", 1, "")])
     assert mx.select(nulls, mx.Mix(share=1.0, max_epochs=1)).count() == 3
+
+
+def test_budgets_in_tables(spark, monkeypatch):
+    """The same budgets, to a token, as on the driver; weights of zero wait for the others."""
+    rng = random.Random(8)
+    for k in range(4):
+        available = {(f"d{rng.randint(0, 2)}", rng.choice("ab"), f"s{rng.randint(0, 9)}"): rng.randint(0, 500) for _ in range(40)}
+        mix = mx.Mix(domains={"d0": 3.0}, languages={"a": 2.0, "b": (0.0, 1.0)[k % 2]}, sources={"s1": 5.0, "s2": 0.0}, share=(0.1, 0.7, 0.95, 1.5)[k], max_epochs=1 + k % 2)
+        leaves = spark.createDataFrame([(*a, 1, v) for a, v in available.items()], "_domain string, _lang string, _source string, docs long, tokens long")
+        got = {tuple(r[:3]): r.budget for r in mx.budget_rows(leaves, mix).collect()}
+        want = mx.budgets(available, mix)
+        assert got.keys() == want.keys() and all(abs(got[x] - want[x]) <= 1 for x in got), k
+
+
+def test_many_leaves_are_planned_alike(spark, monkeypatch):
+    rows = corpus()
+    docs = docs_of(spark, rows)
+    mix = mx.Mix(share=0.4, max_epochs=1)
+    take = lambda: sorted((r._row.doc_id, r._epoch) for r in mx.select(docs, mix).collect())
+    want = take()
+    monkeypatch.setattr(mx, "MAX_LEAVES", 3)
+    assert take() == want
+
+
+def test_token_column(spark):
+    rows = [(k, "word " * (k % 5), "en", "src1", 10 if k % 2 else None, "x") for k in range(40)]
+    got = mx.select(docs_of(spark, rows), mx.Mix(share=0.5, max_epochs=1), tokens="full").collect()
+    assert sum(r._row.full or 0 for r in got) == 100
