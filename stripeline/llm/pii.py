@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, stage
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_SAMPLE = 2000
@@ -326,16 +326,17 @@ def detect(text: str, field: Field) -> tuple[list[tuple[int, int, int]], list[tu
 def sampled(docs: DataFrame, bound: int = MAX_SAMPLE, most: int = MAX_NODES) -> DataFrame:
     """doc_id and text of the training sample, each row of docs that it holds once."""
     text = F.col("text").cast("string")
-    n = F.regexp_count(text, F.lit(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@]"))  # begins at words only: linear
     rows = docs.where(F.col("doc_id").isNotNull() & text.rlike("[0-9@]")).select("doc_id", text.alias("text"), F.xxhash64("doc_id", "text").alias("_h"))
-    few = rows.groupBy("_h").agg(F.min(n.cast("long")).alias("n")).orderBy("_h").limit(bound).collect()  # bound rows of two numbers
-    left, own = most, []
-    for r in few:
+    few = rows.select("_h").distinct().orderBy("_h").limit(bound)
+    n = F.regexp_count("text", F.lit(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@]")).cast("long")  # begins at words only: linear
+    own = rows.join(F.broadcast(few), "_h").groupBy("_h").agg(F.min(F.struct("doc_id", "text")).alias("own"))  # bound rows
+    own = stage(own.select("_h", "own.*").withColumn("n", n), "personal-data-sample")
+    left, kept = most, []
+    for r in own.select("_h", "n").orderBy("_h").collect():  # bound rows of two numbers
         if r["n"] <= left:
             left -= r["n"]
-            own.append((r["_h"],))
-    some = docs.sparkSession.createDataFrame(own, "_h long")
-    return rows.join(F.broadcast(some), "_h").groupBy("_h").agg(F.min(F.struct("doc_id", "text")).alias("own")).select("own.*")
+            kept.append((r["_h"],))
+    return own.join(F.broadcast(docs.sparkSession.createDataFrame(kept, "_h long")), "_h").select("doc_id", "text")
 
 
 def fit(docs: DataFrame, bound: int = MAX_SAMPLE) -> Field:
