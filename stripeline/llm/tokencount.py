@@ -427,5 +427,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIM
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
     is_long = F.col("n_bytes") > long
-    found = _short(texts.where(~is_long), path, kind).union(_long(texts.where(is_long), path, kind, part))
+    found = _short(texts.where(~is_long), path, kind)
+    if not texts.where(is_long).isEmpty():
+        found = found.union(_long(texts.where(is_long), path, kind, part))
     return found.withColumn("over_limit", F.col("n_tokens") > limit)
