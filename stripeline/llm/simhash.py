@@ -4,8 +4,8 @@
 2. The distinct fingerprints are sorted by Gray rank (the position in the reflected Gray code, whose neighbours differ by
    a bit) in ``ORDERS`` orders, each of which begins with another part of the bits: a pair within ``radius`` bits differs in one
    of the leading parts by no more than that order's budget, since the budgets and one for each sum up to radius + 1.
-3. Each order is a hierarchy. Its upper nodes are the parts of the sorted whole (range partitions of about ``PART``
-   fingerprints): a node factors out the bits that all below it share, as mask and pattern. Pairs of upper nodes accumulate the
+3. Each order is a hierarchy. Its upper nodes are the parts of the sorted whole (``PARTS`` ranges of as many fingerprints
+   each, more of them over ``PART``): a node factors out the bits that all below it share, as mask and pattern. Pairs of upper nodes accumulate the
    differences in bits that both share; over the radius, or over the budget in the leading bits, the pair of parts is pruned
    as a whole. Only what is left is opened: both parts go to one task, where trees of the same kind descend together, each
    node adding what it shares beyond its parent, and prune in the same way down to single fingerprints. Where even the
@@ -29,21 +29,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, drop_folder, map_rows, new_folder, partitions, ship, stage
+from .common import HOT, as_bytes, drop_folder, join_by, map_rows, new_folder, partitions, stage
 
 SHINGLE = 4
 RADIUS = 4
 ORDERS = 3
-#: Fingerprints in a part of an order, about; parts of an order at most, whose nodes the driver holds: beyond, parts grow.
-PART, MAX_PARTS = 1 << 15, 1 << 15
+#: Parts of an order; fingerprints in a part, about, over which there are more parts; parts of an order at most, whose nodes the driver holds.
+PARTS, PART, MAX_PARTS = 64, 1 << 20, 1 << 15
 #: Children of a node in a part's tree, and pairs of nodes that are looked at in one step.
 FAN, WIDE = 4, 1 << 16
-#: A fingerprint of more than a HOT-th of all rows is joined by broadcast: fewer than HOT of them.
-HOT = 1000
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = 42) -> int:
@@ -101,26 +98,29 @@ def rotated(fp: Column, by: int) -> Column:
 
 
 def ordered(fps: DataFrame, radius: int, orders: int, large: int) -> DataFrame:
-    """order, part, key of the distinct fingerprints in column fp: keys are the rotated fingerprints, parts ranges of their Gray rank."""
-    n = fps.count()
-    parts = max(1, min(MAX_PARTS, math.ceil(n / large)))
-    ship(fps.sparkSession)
+    """order, part, key of the distinct fingerprints in column fp: keys are the rotated fingerprints, parts ranges of their Gray rank.
+    The ranges come from approximate quantiles, so that nothing is shuffled to sort the whole."""
+    parts = max(PARTS, min(MAX_PARTS, math.ceil(fps.count() / large)))
+    rotations = [by for by, _, _ in leads(radius, orders)]
+    shares = [k / parts for k in range(1, parts)]
+    cuts = fps.agg(*(F.percentile_approx(gray_rank(rotated(F.col("fp"), by)), shares, max(10_000, 20 * parts)) for by in rotations)).first()  # parts numbers for each order
+    cuts = [np.array(x if x is not None else [], np.int64) for x in cuts]
 
-    def numbered(order: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            part = TaskContext.get().partitionId()
-            for batch in batches:
-                same = [pa.array(np.full(batch.num_rows, v, kind)) for v, kind in ((order, np.int32), (part, np.int32))]
-                yield pa.RecordBatch.from_arrays([*same, batch.column(0)], ["order", "part", "key"])
+    def make():
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            fp, out = batch.column(0).to_numpy().view(np.uint64), []
+            for k, by in enumerate(rotations):
+                key = (fp << np.uint64(by)) | (fp >> np.uint64(64 - by)) if by else fp
+                rank = key.copy()
+                for step in (1, 2, 4, 8, 16, 32):
+                    rank ^= rank >> np.uint64(step)
+                part = np.searchsorted(cuts[k], (rank ^ np.uint64(1 << 63)).view(np.int64))
+                out.append((np.full(len(fp), k, np.int32), part.astype(np.int32), key.view(np.int64)))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["order", "part", "key"])
 
         return run
 
-    out = None
-    for k, (by, _, _) in enumerate(leads(radius, orders)):
-        keys = fps.select(rotated(F.col("fp"), by).alias("key")).repartitionByRange(parts, gray_rank(F.col("key")))
-        one = keys.mapInArrow(numbered(k), "order int, part int, key long")
-        out = one if out is None else out.union(one)
-    return stage(out, "simhash-orders")
+    return stage(map_rows(fps.select("fp"), make, "order int, part int, key long"), "simhash-orders")
 
 
 def part_pairs(keys: DataFrame, radius: int, orders: int) -> pa.Table:
@@ -362,12 +362,8 @@ def simhash_classes(docs: DataFrame, radius: int = RADIUS, orders: int = ORDERS,
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", "n", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = stage(rooted.join(least, "root").select("fp", "n", "component_id"), "simhash-classes")
-    # A join by fingerprint would bring all copies of a text to one task: those of the few hot ones stay where they are.
-    total = rows.count()
-    hot = classes.where(F.col("n") * HOT > total).select("fp", "component_id")
-    few = F.broadcast(hot)  # fewer than HOT rows
-    rest = rows.join(few.select("fp"), "fp", "left_anti").join(classes.drop("n"), "fp")
-    every = rows.join(few, "fp").select("doc_id", "fp", "component_id").union(rest.select("doc_id", "fp", "component_id"))
+    # A join by fingerprint alone would bring all copies of a text to one task.
+    every = join_by(rows, classes, ["fp"], F.col("n") * HOT > rows.count())
     return every.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
