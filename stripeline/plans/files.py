@@ -59,3 +59,21 @@ def other_formats(spark: SparkSession, d: str) -> DataFrame:
     columns = [("s_suppkey", "INT8"), ("s_name", "TEXT"), ("s_acctbal", "FLOAT8")]
     found = OrcTable(spark, "supplier", columns, {"filename": f"{path}/orc-*"}).scan()
     return found.groupBy("s_suppkey", "s_name", "s_acctbal").agg(F.count("*").cast("int").alias("copies"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
+def first_version(spark: SparkSession, d: str) -> DataFrame:
+    """A file of the first version (run lengths of version 1, dictionaries of version 1), read as strictly as its option asks."""
+    path = made(spark, ("first", d), lambda: parquet(spark, d, "orders"), write=lambda rows, path: write_orc(rows, path, **{"orc.write.format": "0.11"}))
+    table = OrcTable.of(spark, "orders", path)
+    strict = OrcTable(spark, "orders", [(c, t.family) for c, t in table.columns], {"filename": path, "strict_version": "true"})
+    return strict.scan(["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"])
+
+
+@query("SELECT o_custkey, [o_custkey, o_custkey + 1] AS items FROM orders WHERE o_custkey = 7")
+def filter_array_constant(spark: SparkSession, d: str) -> DataFrame:
+    """A list column compared with a constant list."""
+    rows = parquet(spark, d, "orders")
+    items = F.array("o_custkey", F.col("o_custkey") + 1).alias("items")
+    path = made(spark, ("pairs", d), lambda: rows.select("o_custkey", items))
+    return OrcTable(spark, "pairs", [("o_custkey", "INT8"), ("items", "INT8[]")], {"filename": path}).scan().where("items = array(CAST(7 AS BIGINT), CAST(8 AS BIGINT))")

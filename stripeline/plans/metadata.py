@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.analyze import analyze, column_statistics, estimate, pages_of
 from ..operators.pruning import Predicate, rows_scanned, stride_report
-from ..sources.footer import read_footer
+from ..sources.footer import read_footer, read_stripes
 from ..sources.staging import orc_table
 from .explain import explain_properties, pushed_filters, read_schemas
 from .registry import query, scan
@@ -27,6 +27,15 @@ def footer_meta(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("version", "codec", "stride", "columns", "kinds").agg(F.sum("rows").alias("rows"), F.bool_and("add_up").alias("stripes_add_up"))
 
 
+@query("SELECT min(o_orderkey) AS low, max(o_orderkey) AS high, min(o_orderpriority) AS first, max(o_orderpriority) AS last, count(*) AS rows FROM orders")
+def stripe_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Of all stripes together: what each says of its columns."""
+    found = [s for p, _ in orc_table(spark, d, "orders").files() for s in read_stripes(spark, p)]
+    rows = [(*s.bounds["o_orderkey"], *s.bounds["o_orderpriority"], s.values["o_orderkey"]) for s in found]
+    every = spark.createDataFrame(rows, "low long, high long, first string, last string, rows long")
+    return every.agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("rows").alias("rows"))
+
+
 #: The keys ascend, so row groups are runs of 1000 of them.
 _GROUPS = "WITH g AS (SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS g, o_orderkey AS k FROM orders), s AS (SELECT g, count(*) AS n, min(k) AS low, max(k) AS high FROM g GROUP BY g) "
 

@@ -68,8 +68,21 @@ query(
 query("SELECT p_brand, CAST((200 * sum(p_size) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS average, count(*) AS n FROM part GROUP BY p_brand ORDER BY count(*) DESC, p_brand LIMIT 20", "category_topk")(
     lambda spark, d: scan(spark, d, "part", ["p_brand", "p_size"]).groupBy("p_brand").agg(rounded_average(F.col("p_size")).alias("average"), F.count("*").alias("n")).orderBy(F.desc("n"), "p_brand").limit(20)
 )
-sql("group_min_max", "SELECT l_returnflag, l_linestatus, min(l_quantity) AS least, max(l_extendedprice) AS most, CAST(sum(l_quantity) AS DOUBLE) AS quantity FROM {lineitem} GROUP BY l_returnflag, l_linestatus")
-sql("group_deviation", "SELECT p_brand, round(stddev_samp(p_size), 6) AS deviation, round(var_samp(p_size), 6) AS variance FROM {part} GROUP BY p_brand")
+sql(
+    "group_min_max",
+    """
+    SELECT l_returnflag, l_linestatus, min(l_quantity) AS least, max(l_extendedprice) AS most, CAST(sum(l_quantity) AS DOUBLE) AS quantity FROM {lineitem}
+    GROUP BY l_returnflag, l_linestatus
+    """,
+)
+sql(
+    "group_deviation",
+    """
+    SELECT p_brand, round(stddev_samp(p_size), 6) AS deviation, round(var_samp(p_size), 6) AS variance FROM {part} GROUP BY p_brand
+    """,
+)
+sql("group_hashed", "SELECT l_suppkey, count(*) AS n, max(l_partkey) AS part FROM {lineitem} GROUP BY l_suppkey")
+sql("group_sorted", "SELECT l_suppkey, min(l_returnflag) AS first, max(l_linestatus) AS last FROM {lineitem} GROUP BY l_suppkey")
 sql("count_distinct", "SELECT count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts FROM {lineitem}")
 sql("select_distinct", "SELECT DISTINCT p_brand, p_size FROM {part}")
 sql("having", "SELECT o_custkey, count(*) AS n FROM {orders} GROUP BY o_custkey HAVING count(*) > 12")
@@ -129,9 +142,28 @@ def join_broadcast(spark: SparkSession, d: str) -> DataFrame:
 
 # Windows, sorting, sets, subqueries
 
-sql("window_rank", "SELECT p_partkey, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS BIGINT) AS nth, CAST(rank() OVER (PARTITION BY p_brand ORDER BY p_size) AS BIGINT) AS rank, CAST(dense_rank() OVER (PARTITION BY p_brand ORDER BY p_size) AS BIGINT) AS dense, CAST(ntile(4) OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS BIGINT) AS quarter FROM {part}")
-sql("window_lag_lead", "SELECT o_orderkey, lag(o_orderkey) OVER w AS before, lead(o_orderkey) OVER w AS after, first_value(o_orderkey) OVER w AS first FROM {orders} WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)")
-sql("window_frame", "SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near, max(l_quantity) OVER (PARTITION BY l_orderkey) AS most FROM {lineitem}")
+sql(
+    "window_rank",
+    """
+    SELECT p_partkey, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS BIGINT) AS nth, CAST(rank() OVER (PARTITION BY p_brand
+    ORDER BY p_size) AS BIGINT) AS rank, CAST(dense_rank() OVER (PARTITION BY p_brand
+    ORDER BY p_size) AS BIGINT) AS dense, CAST(ntile(4) OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS BIGINT) AS quarter FROM {part}
+    """,
+)
+sql(
+    "window_lag_lead",
+    """
+    SELECT o_orderkey, lag(o_orderkey) OVER w AS before, lead(o_orderkey) OVER w AS after, first_value(o_orderkey) OVER w AS first FROM {orders}
+    WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
+    """,
+)
+sql(
+    "window_frame",
+    """
+    SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_orderkey
+    ORDER BY l_linenumber ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near, max(l_quantity) OVER (PARTITION BY l_orderkey) AS most FROM {lineitem}
+    """,
+)
 sql(
     "window_last",
     """

@@ -155,3 +155,16 @@ def read_strides(spark: SparkSession, path: str) -> list[Stride]:
     finally:
         rows.close()
     return out
+
+
+def read_stripes(spark: SparkSession, path: str) -> list[Stride]:
+    """Statistics of each stripe of a file as a whole, which scans skip by before its row groups (number is -1)."""
+    meta, reader = read_footer(spark, path), _open(spark, path)
+    out, first = [], 0
+    for k, (stripe, found) in enumerate(zip(meta.stripes, reader.getStripeStatistics(), strict=True)):
+        own = {c.name: found.getColumn(c.type_id) for c in meta.columns}
+        values = {name: x.getNumberOfValues() for name, x in own.items()}
+        bounds = {c.name: b for c in meta.columns if c.kind not in ("BOOLEAN", "TIMESTAMP", "LIST") and (b := _bounds(own[c.name])) is not None}
+        out.append(Stride(k, -1, first, stripe.rows, bounds, values))
+        first += stripe.rows
+    return out

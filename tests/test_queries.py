@@ -40,3 +40,16 @@ def test_query_without_sql(spark, sf, name):
 def test_entry(spark):
     assert entry.entry(spark).count() == 12
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_aggregates_by_hash_and_by_sort(spark, sf):
+    """Numbers are aggregated in place; text, which has no fixed width, in order."""
+    plan = lambda name: engine.queries()[name](spark, sf)._jdf.queryExecution().toString()
+    assert "HashAggregate(" in plan("group_hashed") and "SortAggregate(" not in plan("group_hashed")
+    assert "SortAggregate(" in plan("group_sorted")
+
+
+def test_no_query_is_vacuous(spark, sf, duck):
+    """Each query's SQL gives rows, but for those that are about finding none."""
+    empty = {name for name, text in engine.oracle_sql().items() if not duck.sql(text).limit(1).fetchall()}
+    assert empty <= {"filter_empty", "bigrow_short_none", "bigrow_int_none"}
