@@ -153,7 +153,8 @@ def opened(fps: DataFrame, radius: int = RADIUS, orders: int = ORDERS, large: in
     return (
         keys.join(where, ["order", "part"]).select("order", "pair", "side", "key")
         .repartition(partitions(fps, 3.0 * copies), "pair")
-        .sortWithinPartitions("pair", "side", gray_rank(F.col("key")))
+        .withColumn("_rank", gray_rank(F.col("key")))  # a column, or each comparison of the sort would compute it anew
+        .sortWithinPartitions("pair", "side", "_rank").drop("_rank")
     )
 
 
