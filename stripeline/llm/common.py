@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 _shipped: set[str] = set()
+_staged: dict[str, list[str]] = {}
 #: Whole texts travel in Arrow batches, held by the executor and its Python worker at once: smaller than usual, unless a session has its own sizes.
 ARROW = (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16m"))
 
@@ -56,10 +57,17 @@ def stage(df: DataFrame, what: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = new_folder(spark, what)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Removes the tables that stage() wrote in this application. Results that still read them can't be used afterwards."""
+    for path in _staged.pop(spark.sparkContext.applicationId, []):
+        drop_folder(spark, path)
+
+
 def partitions(df: DataFrame, grows: float = 1.0, each: int = 64 << 20) -> int:
     """Shuffle partitions for what is made of df, grows times its size: the session's number, or more, so that a partition stays near each bytes."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
