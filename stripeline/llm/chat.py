@@ -64,11 +64,13 @@ def formatted(turns: DataFrame) -> DataFrame:
     whole = F.array_join(F.transform("blocks", lambda b: F.concat(F.lit(HEAD), b["role"], F.lit("\n"), F.array_join(b["texts"], END), F.lit(END + "\n"))), "")
     # Positions: texts end where running sums of their lengths and marks say; a block's head goes before its first text, its line feed after its last.
     size = lambda x: F.length(x).cast("long")
-    ends = lambda b: F.transform(b["texts"], lambda t, k: size(t) + len(END) + F.when(k == 0, size(b["role"]) + len(HEAD) + 1).otherwise(0))
+    head = lambda b: size(b["role"]) + len(HEAD) + 1
+    ends = lambda b: F.transform(b["texts"], lambda t, k: size(t) + len(END) + F.when(k == 0, head(b)).otherwise(0))
     sums = running(F.flatten(F.transform("blocks", ends)))
-    texts = F.flatten(F.transform("blocks", lambda b, n: F.transform(b["texts"], lambda t: F.struct(size(t).alias("size"), b["speaks"].alias("speaks"), n.cast("long").alias("before")))))
-    placed = F.zip_with(texts, sums, lambda t, end: F.struct((end + t["before"] - len(END) - t["size"]).alias("start"), (end + t["before"] - len(END)).alias("end"), t["speaks"].alias("speaks")))
-    loss = F.transform(F.filter(placed, lambda s: s["speaks"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    about = lambda b, n: F.transform(b["texts"], lambda t: F.struct(size(t).alias("size"), b["speaks"].alias("speaks"), n.cast("long").alias("before")))
+    texts = F.flatten(F.transform("blocks", about))
+    placed = F.zip_with(texts, sums, lambda t, end: F.struct((end + t["before"] - len(END)).alias("end"), t["size"].alias("size"), t["speaks"].alias("speaks")))
+    loss = F.transform(F.filter(placed, lambda s: s["speaks"]), lambda s: F.struct((s["end"] - s["size"]).alias("start"), s["end"].alias("end")))
     return merged.select("conv_id", whole.alias("formatted"), loss.alias("loss"))
 
 

@@ -119,7 +119,10 @@ def bucket(n: int, cuts: tuple[int, ...]) -> int:
 
 
 #: Name, number of values of each feature of a node.
-FEATURES = (("bias", 1), ("at", 3), ("plus", 2), ("digits", 8), ("letters", 4), ("dots", 6), ("dashes", 4), ("odd", 2), ("luhn", 2), ("quad", 2), ("cue", 5), ("length", 5), ("paren", 2))
+FEATURES = (
+    ("bias", 1), ("at", 3), ("plus", 2), ("digits", 8), ("letters", 4), ("dots", 6), ("dashes", 4), ("odd", 2), ("luhn", 2), ("quad", 2), ("cue", 5),
+    ("length", 5), ("paren", 2),
+)
 WIDTH = sum(n for _, n in FEATURES)
 
 
@@ -386,9 +389,11 @@ def personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:
                 cols[5].append(joined([*found, *more]))
                 cols[6].append(len(more))
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
-            return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"])
+            names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"]
+            return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names)
 
         return run
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_rows(docs.select("doc_id", F.col("text").cast("string").alias("text")), make, f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_added long")
+    schema = f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_added long"
+    return map_rows(docs.select("doc_id", F.col("text").cast("string").alias("text")), make, schema)

@@ -237,12 +237,14 @@ def verdicts(docs: DataFrame, forest: Forest) -> DataFrame:
             bad = np.array([failed(s[0], s[4]) for s in stats.tolist()], bool)
             odd = own.score(ratios(stats))
             cols = [pa.array(stats[:, k]) for k in range(len(STATS))]
-            return pa.RecordBatch.from_arrays([batch.column(0), *cols, pa.array(bad), pa.array(odd), pa.array(~bad & (odd <= own.threshold))], ["doc_id", *STATS, "base_failed", "anomaly", "kept"])
+            verdict = [pa.array(bad), pa.array(odd), pa.array(~bad & (odd <= own.threshold))]
+            return pa.RecordBatch.from_arrays([batch.column(0), *cols, *verdict], ["doc_id", *STATS, "base_failed", "anomaly", "kept"])
 
         return run
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_rows(docs.select("doc_id", F.col("text").cast("string").alias("text")), make, f"doc_id {kind}, " + ", ".join(f"{k} long" for k in STATS) + ", base_failed boolean, anomaly double, kept boolean")
+    schema = f"doc_id {kind}, " + ", ".join(f"{k} long" for k in STATS) + ", base_failed boolean, anomaly double, kept boolean"
+    return map_rows(docs.select("doc_id", F.col("text").cast("string").alias("text")), make, schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -180,7 +180,9 @@ def _found(batches: Iterator[pa.RecordBatch], radius: int, orders: int, counts:
         compared = [0]
         x, y = linked(a, b, lead_mask(length), budget, radius, compared)
         if counts:
-            yield pa.RecordBatch.from_arrays([pa.array([order], pa.int32()), pa.array([len(a) + len(b if b is not None else ())], pa.int64()), pa.array(compared, pa.int64())], ["order", "members", "compared"])
+            members = len(a) + len(b if b is not None else ())
+            columns = [pa.array([order], pa.int32()), pa.array([members], pa.int64()), pa.array(compared, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["order", "members", "compared"])
         elif len(x):
             x, y = (((v >> np.uint64(by)) | (v << np.uint64(64 - by)) if by else v).view(np.int64) for v in (x, y))
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])

@@ -94,7 +94,8 @@ class Encoder:
         self.width = 2 if most < 1 << 16 else 4
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
         suffix = steps["model"].get("end_of_word_suffix")
-        self.by_words = bool(suffix) and not steps["model"].get("dropout") and all(steps.get(k) == v for k, v in BY_WORDS.items()) and all(not t["normalized"] and not t["single_word"] for t in steps["added_tokens"])
+        plain = bool(suffix) and not steps["model"].get("dropout") and all(steps.get(k) == v for k, v in BY_WORDS.items())
+        self.by_words = plain and not any(t["normalized"] or t["single_word"] for t in steps["added_tokens"])
         if not self.by_words:
             return
         #: The library's model alone, for words that its other steps would leave as they are; a word's last token has the suffix.
@@ -397,7 +398,8 @@ def chunk_rows(docs: DataFrame, tokenizer: str) -> DataFrame:
                     sent.add(digest)
                     last = at
             owners = np.array(owners, np.int64)
-            columns = [part.column(0).take(pa.array(owners)), pa.array(owners + row), pa.array(seqs, pa.int32()), pa.array(ns, pa.int32()), pa.array(digests, pa.binary()), pa.array(payloads, pa.binary())]
+            columns = [part.column(0).take(pa.array(owners)), pa.array(owners + row), pa.array(seqs, pa.int32()), pa.array(ns, pa.int32())]
+            columns += [pa.array(digests, pa.binary()), pa.array(payloads, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "seq", "n", "digest", "payload"])
             row += part.num_rows
             if len(sent) > MAX_SENT:
@@ -476,7 +478,8 @@ def _recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = list(zip(*done, strict=True))
         kinds = [pa.int32(), schema.field("doc_id").type, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary()]
         done.clear()
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], ["part", "doc_id", "row", "start", "n_tokens", "chunks", "lens", "root"])
+        names = ["part", "doc_id", "row", "start", "n_tokens", "chunks", "lens", "root"]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names)
 
     schema = None
     for batch in batches:
@@ -495,13 +498,20 @@ def _recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(schema)
 
 
+#: What a block of documents, or a part, comes to.
+BLOCKS = "part int, block long, docs long, tokens long, root binary"
+
+
 def _parts(recipes: DataFrame) -> DataFrame:
     """part, docs, tokens, root of each part; a part's rows are gathered as 16-byte roots by 4096 documents."""
     blocks = recipes.select("part", "start", "row", "n_tokens", "root").withColumn("_block", F.shiftright("start", 20))
-    level = blocks.groupBy("part", "_block").agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens"), F.sort_array(F.collect_list(F.struct("start", "row", "root"))).alias("own"))
-    rooted = map_rows(level.select("part", "_block", "docs", "tokens", F.transform("own", lambda x: x["root"]).alias("roots")), lambda: _root_batch, "part int, block long, docs long, tokens long, root binary")
-    top = rooted.groupBy("part").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"), F.sort_array(F.collect_list(F.struct("block", "root"))).alias("own"))
-    return map_rows(top.select("part", F.lit(0).cast("long").alias("_block"), "docs", "tokens", F.transform("own", lambda x: x["root"]).alias("roots")), lambda: _root_batch, "part int, block long, docs long, tokens long, root binary").drop("block")
+    own = F.sort_array(F.collect_list(F.struct("start", "row", "root"))).alias("own")
+    level = blocks.groupBy("part", "_block").agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens"), own)
+    rooted = map_rows(level.select("part", "_block", "docs", "tokens", F.transform("own", lambda x: x["root"]).alias("roots")), lambda: _root_batch, BLOCKS)
+    sums = (F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+    top = rooted.groupBy("part").agg(*sums, F.sort_array(F.collect_list(F.struct("block", "root"))).alias("own"))
+    roots = F.transform("own", lambda x: x["root"]).alias("roots")
+    return map_rows(top.select("part", F.lit(0).cast("long").alias("_block"), "docs", "tokens", roots), lambda: _root_batch, BLOCKS).drop("block")
 
 
 def _root_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -571,7 +581,8 @@ def summary(spark: SparkSession, folder: str) -> DataFrame:
             if b - a != k or merkle(digests[a:b]) != root:
                 raise ValueError("a document's chunks don't match its root")
         crcs = crc_joins(parts.field("crc").to_numpy(), 4 * parts.field("n").to_numpy().astype(np.int64), offsets)
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(crcs.astype(np.int64))], ["doc_id", "start", "n_tokens", "ids_crc32"])
+        columns = [*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(crcs.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return map_rows(whole, lambda: join, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
@@ -594,7 +605,8 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
             if len(ids) != n:
                 raise ValueError("a document's length doesn't match its recipe")
             out.append(ids.astype(np.int64))
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "start", "n_tokens", "ids"])
+        columns = [*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(out, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids"])
 
     return map_rows(whole, lambda: join, f"doc_id {kind}, start long, n_tokens long, ids array<long>")
 

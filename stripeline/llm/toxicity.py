@@ -277,10 +277,9 @@ def score(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD) -> Da
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [lex.hits(t or "") for t in batch.column(2).to_pylist()]
             scores = [lex.score(t, n) for t, _, n in found]
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array([k for _, k, _ in found], pa.int64()), pa.array([n for *_, n in found], pa.int64())],
-                ["doc_id", "held_out", "score", "predicted", "n_hits", "n_words"],
-            )
+            columns = [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())]
+            columns += [pa.array([k for _, k, _ in found], pa.int64()), pa.array([n for *_, n in found], pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted", "n_hits", "n_words"])
 
         return run
 
