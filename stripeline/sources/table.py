@@ -18,8 +18,8 @@ from .types import COMPLEX, Declared
 
 #: Options by where they may stand.
 VALID = {"table": ("filename", "drop_null_items", "strict_version"), "server": ("drop_null_items", "strict_version"), "column": ()}
-#: What a hint names: the option that a table needs.
-HINT = {"table": "filename", "server": "", "column": ""}
+#: What a hint names: the option that a table needs, and what a server may have.
+HINT = {"table": "filename", "server": ", ".join(VALID["server"]), "column": ""}
 FIRST_VERSION = "0.11"
 
 
