@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import io
 import os
 import uuid
@@ -95,6 +97,13 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release() -> None:
+    """Gives memory that isn't used back to the system: a Python worker stays for other tasks, idle ones beside it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow with one state per task: make() builds the function that maps each record batch; not called where there is none."""
     ship(df.sparkSession)
@@ -104,6 +113,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Rec
         for batch in batches:
             f = f or make()
             yield f(batch)
+        release()
 
     return df.mapInArrow(run, schema)
 

@@ -42,12 +42,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, map_rows, new_folder, partitions, ship
+from .common import as_bytes, map_rows, new_folder, partitions, release, ship
 
 END_ID = 1
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK, WINDOW = 64, 8, 1024, 16
 #: Words that a worker remembers at most, and as many from before.
-MAX_WORDS = 500_000
+MAX_WORDS = 250_000
 #: Bytes of a word's tail of punctuation at most, else the word is looked at as a whole; tails that a worker remembers.
 TAIL, MAX_TAILS = 8, 10_000
 #: Chunks that a task knows to have sent; beyond, it sends some again, and the shuffle drops them.
@@ -112,6 +112,10 @@ class Encoder:
         self.older: dict[bytes, bytes] = {}
         self.tails: dict[int, bytes] = {}
 
+    def rest(self) -> None:
+        """Between tasks: of the words the late ones stay."""
+        self.older = {}
+
     def whole(self, texts: list[str]) -> list[bytes]:
         """The library's ids of each of texts, which hold no blanks, all its steps included."""
         out = []
@@ -191,7 +195,7 @@ class Encoder:
         core = pc.ascii_rtrim(values, PUNCTUATION)
         tail = numbers(pc.subtract(pc.binary_length(values), pc.binary_length(core)))
         core = core.dictionary_encode()
-        first = numbers(core.indices).astype(np.int64)
+        first = numbers(core.indices)
         odd = (tail > 0) & ~letters_only(core.dictionary)[first] | (tail > TAIL)
         whole = values.filter(pa.array(odd)).dictionary_encode()
         tailed = (tail > 0) & ~odd
@@ -199,24 +203,24 @@ class Encoder:
         used = np.zeros(len(core.dictionary), bool)
         used[first[~odd]] = True
         cores = np.flatnonzero(used)
-        first = np.cumsum(used)[first] - 1
-        first[odd] = len(cores) + numbers(whole.indices)
+        first = (np.cumsum(used, dtype=np.int32) - 1)[first]
+        first[odd] = len(cores) + numbers(whole.indices)  # numbers of 32 bits: a batch is one text or a few megabytes
         ids = self.known([*sliced(core.dictionary.filter(pa.array(used))), *sliced(whole.dictionary)])
-        second = len(ids) + numbers(keys.indices)
+        second = np.int32(len(ids)) + numbers(keys.indices)
         ids += [*map(self.tail, keys.dictionary.to_pylist()), np.array([end], self.kind).tobytes()]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
-        pool, begins = np.frombuffer(b"".join(ids), self.kind), np.cumsum(sizes) - sizes
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // self.width
+        pool, begins = np.frombuffer(b"".join(ids), self.kind), np.cumsum(sizes, dtype=np.int64) - sizes
         # Numbers of cores, each followed by that of its tail, if it has one; after each text that of the last entry, the end id.
-        after = np.cumsum(tailed)
-        at = np.arange(len(first)) + after - tailed
-        each = np.empty(len(first) + (int(after[-1]) if len(after) else 0), np.int64)
+        after = np.cumsum(tailed, dtype=np.int32)
+        at = np.arange(len(first), dtype=np.int32) + after - tailed
+        each = np.empty(len(first) + (int(after[-1]) if len(after) else 0), np.int32)
         each[at] = first
         each[at[tailed] + 1] = second
         ends = np.cumsum(numbers(split.value_lengths()).astype(np.int64))
         ends += np.concatenate(([0], after))[ends]
         each = np.insert(each, ends, len(ids) - 1)
         lengths = sizes[each]
-        upto = np.cumsum(lengths)
+        upto = np.cumsum(lengths, dtype=np.int64)
         out = np.empty(int(upto[-1]) if len(upto) else 0, self.kind)
         for k in range(0, len(each), 1 << 18):  # in blocks, as a text may be very long
             part, own = each[k : k + (1 << 18)], lengths[k : k + (1 << 18)]
@@ -404,12 +408,15 @@ def chunk_rows(docs: DataFrame, tokenizer: str) -> DataFrame:
             row += part.num_rows
             if len(sent) > MAX_SENT:
                 sent.clear()
+            pa.default_memory_pool().release_unused()  # a worker stays, and would keep what its largest batch took
+        enc.rest()
+        release()
 
     ship(docs.sparkSession)
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, row long, seq int, n int, digest binary, payload binary")
 
 
-def gathered(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def gathered(batches: Iterator[pa.RecordBatch], most: int = 6 << 20) -> Iterator[pa.RecordBatch]:
     """Batches joined up to about most bytes: the more texts at once, the fewer distinct words."""
     held, size = [], 0
     for batch in batches:
