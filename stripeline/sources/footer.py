@@ -72,6 +72,11 @@ def data_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted(out)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(_conf(spark)).delete(p, True)
+
+
 def _open(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     return jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.orc.OrcFile.readerOptions(_conf(spark)))
@@ -128,8 +133,8 @@ def _bounds(s) -> tuple[Any, Any] | None:
     return None
 
 
-def read_strides(spark: SparkSession, path: str) -> list[Stride]:
-    """The row index of a file; without one, a stride for each stripe, without bounds. Dates are days since 1970."""
+def read_strides(spark: SparkSession, path: str, columns: set[str] | None = None) -> list[Stride]:
+    """The row index of a file, of all or the named columns; without one, a stride for each stripe, without bounds. Dates are days since 1970."""
     meta, reader = read_footer(spark, path), _open(spark, path)
     out, first = [], 0
     if not meta.stride:
@@ -137,13 +142,14 @@ def read_strides(spark: SparkSession, path: str) -> list[Stride]:
             out.append(Stride(k, 0, first, s.rows))
             first += s.rows
         return out
+    wanted = [c for c in meta.columns if columns is None or c.name in columns]
     rows = reader.rows()
     try:
         for k, s in enumerate(meta.stripes):
             groups = rows.readRowIndex(k, None, None).getRowGroupIndex() if s.index_bytes else None
             for n in range(-(-s.rows // meta.stride)):
                 bounds, values = {}, {}
-                for c in meta.columns:
+                for c in wanted:
                     index = groups[c.type_id] if groups is not None else None
                     if index is not None and n < index.getEntryCount():
                         own = index.getEntry(n).getStatistics()

@@ -152,3 +152,34 @@ def test_late_rows_and_sliding_windows(spark, tmp_path):
     totals = finished(running_totals(stream().selectExpr("n % 2 AS k", "n"), "k", "n"), "tot", "update").collect()
     last = {r.k: max((x for x in totals if x.k == r.k), key=lambda x: x._batch) for r in totals}
     assert (last[0]["rows"], last[1]["rows"]) == (3, 4) and last[0].most == 300
+
+
+@pytest.mark.parametrize("stripes", [1, 2])
+def test_ordered_row_groups_run_over_files(spark, tmp_path, stripes):
+    from stripeline.sources.staging import write_ordered
+
+    rows = spark.range(300_500).select(F.when(F.col("id") < 299_000, F.col("id")).alias("k")).repartition(7)
+    t = OrcTable(spark, "o", [("k", "INT8")], {"filename": write_ordered(rows, f"file://{tmp_path}/o", "k", 1000, stripes)})
+    assert len(t.files()) == (3 if stripes == 1 else 2) and not (tmp_path / "o-parts").exists()
+    report = stride_report(t, [Predicate("k", ">=", 127_500), Predicate("k", "<", 129_000)])
+    assert {(r.kept, r.empty): (r["count"], r.n) for r in report.groupBy("kept", "empty").agg(F.count("*").alias("count"), F.sum("rows").alias("n")).collect()} == {
+        (True, False): (2, 2000), (False, False): (297, 297_000), (False, True): (2, 1500),
+    }
+    assert t.scan().agg(F.count("*"), F.sum("k")).first() == (300_500, 298_999 * 299_000 // 2)
+
+
+@pytest.mark.parametrize("name", ["stride_skip_report", "skip_all_scanned"])
+def test_row_groups_of_many_unordered_files(spark, sf, tmp_path, name):
+    """Files of no whole thousands of rows, in no order, and keys that are null."""
+    import duckdb
+
+    from stripeline.plans import queries as engine
+
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    keys = spark.range(5).withColumnRenamed("id", "copy")
+    key = F.when(F.col("copy") < 4, F.col("o_orderkey") + 1500 * F.col("copy")).alias("o_orderkey")
+    orders.crossJoin(keys).select(key, *orders.columns[1:]).repartition(7, F.rand(3)).write.parquet(f"file://{tmp_path}/orders.parquet")
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    got, want = engine.queries()[name](spark, f"file://{tmp_path}"), duck.sql(engine.oracle_sql()[name])
+    assert sorted(map(repr, (tuple(r[c] for c in want.columns) for r in got.collect()))) == sorted(map(repr, want.fetchall()))
